@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from .text import SPACE, clean, strip
+from .text import SPACE, clean, collapse, strip
 
 CUT = "\x00"
 
@@ -54,7 +54,6 @@ NEWS_MIN_LENGTH = 200
 ARCHIVE_MIN_LENGTH = 100
 
 # Entities decoded natively; pages with any other one go to the tree reader.
-# The ampersand comes last so that decoded text is never decoded again.
 ENTITIES = {
     "lt": "<", "gt": ">", "quot": '"', "apos": "'", "nbsp": "\xa0",
     "copy": "\xa9", "reg": "\xae", "middot": "\xb7", "laquo": "\xab", "raquo": "\xbb",
@@ -65,14 +64,13 @@ ENTITIES = {
 
 VOID_NOISE = {"meta", "link"}
 TAG = r"<(?:/?[a-zA-Z]|[!?])[^>]*>"
-COMMENT = r"<!--.*?-->"
 _NEEDS_SEMICOLON = ["apos", "ndash", "mdash", "lsquo", "rsquo", "ldquo", "rdquo", "hellip"]
 
 
 def _dropped(tags: list[str]) -> str:
     """Comments and whole elements, whichever opens first."""
     names = "|".join(tag for tag in tags if tag not in VOID_NOISE)
-    return rf"(?is){COMMENT}|<({names})(?:[\s/][^>]*)?>.*?</\1\s*>"
+    return rf"(?is)<(?:!--.*?--|({names})(?:[\s/][^>]*)?>.*?</\1\s*)>"
 
 
 def visible(html: Column) -> Column:
@@ -98,17 +96,39 @@ def first_element(html: Column, tag: str) -> Column:
     return F.regexp_extract(html, rf"(?is)<{tag}(?:[\s/][^>]*)?>.*?</{tag}\s*>", 0)
 
 
-def is_nested(element: Column, tag: str) -> Column:
-    """The element holds another one of its own kind."""
-    return element.rlike(rf"(?is).<{tag}[\s/>]")
+def structure(markup: Column) -> Column:
+    """Start and end tags that decide where titles and bodies come from, as an
+    array of lower-case names in document order."""
+    tags = F.regexp_extract_all(markup, F.lit(r"(?i)<(/?(?:article|main|body|h1|title))(?=[\s/>])"), 1)
+    return F.transform(tags, F.lower)
+
+
+def is_unclear(tags: Column, tag: str) -> Column:
+    """The first element of that name is unclosed or holds another of its kind."""
+    own = F.filter(tags, lambda t: t.isin(tag, f"/{tag}"))
+    start = F.array_position(own, tag).cast("int")
+    return (start > 0) & ~F.coalesce(F.get(own, start) == f"/{tag}", F.lit(False))
+
+
+def _known_entity() -> str:
+    bare = "|".join(name for name in ENTITIES if name not in _NEEDS_SEMICOLON)
+    return rf"(?:(?:{'|'.join(ENTITIES)});|(?:{bare}))"
 
 
 def decode_entities(text: Column) -> Column:
-    decoded = text
-    for name, value in ENTITIES.items():
-        decoded = F.replace(decoded, F.lit(f"&{name};"), F.lit(value))
-        if name not in _NEEDS_SEMICOLON:
-            decoded = F.replace(decoded, F.lit(f"&{name}"), F.lit(value))
+    """Replace the entities of ``ENTITIES``; work grows with the ampersands in
+    the text, and what a replacement yields is never read again."""
+    values = F.create_map(*[
+        F.lit(part) for name, value in ENTITIES.items()
+        for part in (name, value, f"{name};", value)
+    ])
+    start = rf"\A{_known_entity()}"
+
+    def after_ampersand(part: Column, position: Column) -> Column:
+        value = F.coalesce(F.try_element_at(values, F.regexp_extract(part, start, 0)), F.lit("&"))
+        return F.when(position == 0, part).otherwise(F.concat(value, F.regexp_replace(part, start, "")))
+
+    decoded = F.array_join(F.transform(F.split(text, "&"), after_ampersand), "")
     return F.when(text.contains("&"), decoded).otherwise(text)
 
 
@@ -145,7 +165,7 @@ def is_longer(text: Column, limit: int) -> Column:
 
 def cleaned(text: Column) -> Column:
     """Decoded nodes on one line, one blank between words and nodes."""
-    return F.trim(F.regexp_replace(text, rf"[{SPACE}{CUT}]+", " "))
+    return collapse(text, CUT)
 
 
 def glued(text: Column) -> Column:

@@ -40,7 +40,9 @@ URL_PATTERN = rf"https?://[^{SPACE}]+"
 
 
 def _any_label(labels: list[str]) -> str:
-    return "(?:" + "|".join(re.escape(label) for label in labels) + ")"
+    """Alternation of labels; the patterns using it ignore case."""
+    distinct = {label.lower(): label for label in labels}
+    return "(?:" + "|".join(map(re.escape, distinct.values())) + ")"
 
 
 def bracket_label(title: Column) -> Column:

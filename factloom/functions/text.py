@@ -49,9 +49,19 @@ def strip(c: Column) -> Column:
     return F.regexp_replace(c, rf"^[{SPACE}]+|(?<![{SPACE}])[{SPACE}]+\z", "")
 
 
+def collapse(c: Column, also: str = "") -> Column:
+    """Runs of white space (and of ``also``) become one blank, ends trimmed.
+
+    Single blanks already are what they should be and are not matched, which
+    leaves ordinary prose untouched.
+    """
+    run = f"{SPACE}{also}"
+    return F.trim(F.regexp_replace(c, rf"[{run}]{{2,}}|[{run}&&[^ ]]", " "))
+
+
 def clean(c: Column) -> Column:
     """Collapse every run of white space to one blank and trim."""
-    return F.trim(F.regexp_replace(c, rf"[{SPACE}]+", " "))
+    return collapse(c)
 
 
 def lower_text(c: Column) -> Column:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions import html as H, html_tree, sections as S, urls as U
+from ..session import stored
 from .skew import block_offsets
 
 # Consecutive list pages are processed as one block: enough blocks to spread a
@@ -97,6 +98,8 @@ def collect_links(
     """Article links in crawl order: (page, pos, url, date, category, article_id)."""
     anchors = page_anchors(in_page_range(list_pages, start_page, max_pages), base_url)
     links = first_per_page(in_blocks(anchors, pages_per_block))
+    # Cut-off, counts and numbering all read the links; the HTML is parsed once.
+    links = stored(links, "links")
     kept = before_frontier(links, start_page)
     return numbered(kept).select(
         "page", "pos", "url", "date", F.lit("").alias("category"), "article_id"

@@ -44,15 +44,19 @@ def with_page_text(
             .otherwise(False)
         )
 
+    def present(tags: str, source: Column, tag: str) -> Column:
+        return F.when(F.array_contains(tags, tag), H.first_element(source, tag)).otherwise("")
+
     # Staged so that each pass over the page runs once, whoever reads its result.
     staged = (
         pages
         .withColumns({"_page": H.visible(F.col(html)), "_markup": H.denoised(F.col(html))})
+        .withColumns({"_tags": H.structure(page), "_body_tags": H.structure(markup)})
         .withColumns({
-            "_t_article": H.first_element(page, "article"),
-            "_t_main": H.first_element(page, "main"),
-            "_b_article": H.first_element(markup, "article"),
-            "_b_main": H.first_element(markup, "main"),
+            "_t_article": present("_tags", page, "article"),
+            "_t_main": present("_tags", page, "main"),
+            "_b_article": present("_body_tags", markup, "article"),
+            "_b_main": present("_body_tags", markup, "main"),
         })
         .withColumns({
             "_title": H.nodes(H.title_element(page, F.col("_t_article"), F.col("_t_main"))),
@@ -103,14 +107,12 @@ def with_page_text(
 def _needs_tree(kind: Column) -> Column:
     """Pages on which the native stages could differ from a real tree."""
     page, markup = F.col("_page"), F.col("_markup")
+    tags, body_tags = F.col("_tags"), F.col("_body_tags")
     unclear = F.lit(False)
     for tag in ("article", "main"):
-        for source, part in ((page, f"_t_{tag}"), (markup, f"_b_{tag}")):
-            unclear = unclear | H.is_nested(F.col(part), tag) | (
-                (F.col(part) == "") & H.has_element(source, tag)
-            )
-    untitled = (F.col("_title") == "") & page.rlike(r"(?i)<(?:h1|title)[\s/>]")
-    bodiless = ~H.has_element(markup, "body")
+        unclear = unclear | H.is_unclear(tags, tag) | H.is_unclear(body_tags, tag)
+    untitled = (F.col("_title") == "") & (F.array_contains(tags, "h1") | F.array_contains(tags, "title"))
+    bodiless = ~F.array_contains(body_tags, "body")
     # A first article with a heading and enough text is preferred to anything
     # picked by class or id; archive wrappers come before the article.
     settled = H.has_element(F.col("_t_article"), "h1") & F.col("_text").eqNullSafe(F.col("_article"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # What the plans here rely on.  Partition counts are left to the cluster: AQE
 # coalesces small shuffle partitions and splits skewed ones at run time.
@@ -45,3 +45,12 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
     if not (spark.conf.get("spark.master", "") or "").startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
     return tempfile.mkdtemp(prefix=f"{purpose}-")
+
+
+def stored(df: DataFrame, purpose: str) -> DataFrame:
+    """Write a narrow table that several branches of a job read, and read it
+    back: the work above it runs once and its files outlive any executor."""
+    spark = df.sparkSession
+    path = scratch_dir(spark, purpose)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
