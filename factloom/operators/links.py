@@ -53,7 +53,7 @@ def frontier(links: DataFrame, start_page: int = 1) -> DataFrame:
     Pages that are absent count as pages without links.  The candidates are the
     start and every page after one with links, so an anti-join finds the gap.
     """
-    pages = links.select("page").distinct()
+    pages = links.where(F.col("page") >= start_page).select("page").distinct()
     start = links.sparkSession.range(start_page, start_page + 1).toDF("page")
     after = pages.select((F.col("page") + 1).alias("page")).unionByName(start)
     return after.join(pages, "page", "left_anti").agg(F.min("page").alias("stop"))

@@ -43,7 +43,8 @@ def _read(spark: SparkSession, path: str, schema: T.StructType, fmt: str, missin
     try:
         if fmt == "csv":
             return _missing_to_null(reader.options(**CSV_READ).csv(path))
-        return reader.format(fmt).load(path)
+        # A partition column is read last; the fixed order is restored.
+        return reader.format(fmt).load(path).select(*schema.names)
     except AnalysisException as error:
         if missing_ok and error.getCondition() == "PATH_NOT_FOUND":
             return empty_table(spark, schema)
