@@ -105,8 +105,14 @@ def field_report(articles: DataFrame) -> DataFrame:
 
 
 def field_completeness(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """Filled and empty values per field."""
-    filled = is_filled(F.col("value"))
-    return _fields(df, columns or REPORT_FIELDS).groupBy("field").agg(
-        F.count_if(filled).alias("n_filled"), F.count_if(~filled).alias("n_empty")
-    )
+    """Filled and empty values per field: one aggregation over the wide rows,
+    turned into one row per field afterwards."""
+    columns = columns or REPORT_FIELDS
+    total = df.agg(F.count("*").alias("_n"), *[
+        F.count_if(is_filled(F.col(c).cast("string"))).alias(c) for c in columns
+    ])
+    return total.select(F.inline(F.array(*[
+        F.struct(
+            F.lit(c).alias("field"), F.col(c).alias("n_filled"), (F.col("_n") - F.col(c)).alias("n_empty")
+        ) for c in columns
+    ])))

@@ -14,8 +14,9 @@ RECOMMENDED_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # HTML rows are wide, so Arrow batches are kept short.
+    # HTML rows are wide, so Arrow batches are kept short and bounded in bytes.
     "spark.sql.execution.arrow.maxRecordsPerBatch": "500",
+    "spark.sql.execution.arrow.maxBytesPerBatch": "64m",
 }
 
 

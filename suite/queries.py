@@ -10,7 +10,7 @@ from factloom.operators import (
     routing, sources as O,
 )
 from factloom.plans import builds
-from factloom.session import scratch_dir
+from factloom.session import scratch_dir, stored
 from factloom.sources import tables as IO
 from factloom.streaming import incremental
 
@@ -217,7 +217,7 @@ def list_frontier(spark, sf):
 
 
 def list_progress(spark, sf):
-    links = L.first_per_page(L.in_blocks(L.page_anchors(L.in_page_range(_sparse(spark, sf), 2), Z.BASE), 8))
+    links = stored(L.first_per_page(L.in_blocks(L.page_anchors(L.in_page_range(_sparse(spark, sf), 2), Z.BASE), 8)), "links")
     return L.page_progress(L.before_frontier(links, 2))
 
 
@@ -382,8 +382,9 @@ def spot_check(spark, sf):
 
 
 def _stored_content(spark, sf):
-    return builds.build_content(
-        _plain_articles(spark, sf), _snapshot(spark, sf), rules=RULES, stamp=F.lit("fixed"), min_rows=20)
+    """The content table as later jobs find it: written once, then read."""
+    return stored(builds.build_content(
+        _plain_articles(spark, sf), _snapshot(spark, sf), rules=RULES, stamp=F.lit("fixed"), min_rows=20), "content")
 
 
 def _claims(spark, sf):
