@@ -211,8 +211,11 @@ def is_torn(page: Column) -> Column:
     """``visible`` markup with ``>`` inside an attribute, an open comment or
     hidden element, or a tag cut off at the end."""
     hidden = "|".join(HIDDEN_TAGS)
-    return page.rlike(
-        rf"""(?i)=\s*(?:"[^">]*>|'[^'>]*>)|<!--|</?(?:{hidden})[\s/>]|<(?:/?[a-z]|[!?])[^>]*+\z"""
+    last_tag = F.substring_index(page, "<", -1)
+    return (
+        page.rlike(r"""=\s*(?:"[^">]*>|'[^'>]*>)""")
+        | page.rlike(rf"(?i)<(?:!--|/?(?:{hidden})[\s/>])")
+        | last_tag.rlike(r"\A(?:/?[a-zA-Z]|[!?])[^>]*\z")
     )
 
 

@@ -51,22 +51,29 @@ def bracket_label(title: Column) -> Column:
     return strip(F.regexp_extract(plain, r"\[([^\]]+)\]", 1))
 
 
-def section(text: Column, opens: list[str], closes: list[str]) -> Column:
+def line_breaks(text: Column) -> Column:
+    """Every run of white space that holds a line break becomes one line break.
+    Matching starts at run starts only, so long runs are read once."""
+    return F.regexp_replace(text, rf"(?<![{SPACE}])[{SPACE}&&[^\n]]*+\n[{SPACE}]*+", "\n")
+
+
+def section(lines: Column, opens: list[str], closes: list[str]) -> Column:
     """Text between a line that ends in an opening label and the next line that
     starts with a closing label; empty when either is missing.
 
-    The closing label is consumed rather than looked ahead at, and the line
-    break after the opening label is atomic, so a text without a closing label
-    is walked once per opening label.
+    ``lines`` has its ``line_breaks`` collapsed.  It is first cut behind its last
+    closing label: an opening label inside the cut then has a closing one after
+    it, so no search runs to the end of a long text in vain.  The closing label
+    is consumed rather than looked ahead at.
     """
-    pattern = (
-        rf"(?isu){_any_label(opens)}(?>[{SPACE}]*\n)(.*?)\n[{SPACE}]*{_any_label(closes)}"
-    )
-    return clean(F.regexp_extract(text, pattern, 1))
+    close = rf"\n{_any_label(closes)}"
+    reach = F.regexp_extract(lines, rf"(?isu)\A.*{close}", 0)
+    return clean(F.regexp_extract(reach, rf"(?isu){_any_label(opens)}\n(.*?){close}", 1))
 
 
 def all_sections(text: Column) -> dict[str, Column]:
-    return {name: section(text, *labels) for name, labels in SECTION_LABELS.items()}
+    lines = line_breaks(text)
+    return {name: section(lines, *labels) for name, labels in SECTION_LABELS.items()}
 
 
 _SOURCE = rf"{SOURCE_LABEL}[{SPACE}]*[:\-]?[{SPACE}]*(https?://[^{SPACE}]+)"

@@ -124,3 +124,14 @@ def test_first_site_link(spark):
     rows = spark.createDataFrame([("<a href='/x'>n</a><a class=k href='https://s.example/1'> a <b> b</b></a>",), ("<p>",)], "html string")
     got = rows.select(H.first_site_link(F.col("html"), "s.example").alias("l")).collect()
     assert tuple(got[0].l) == ("https://s.example/1", "ab") and tuple(got[1].l) == (None, None)
+
+
+def test_large_page(spark):
+    """Many elements and a long text in one page, native and through the tree."""
+    body = "".join(f"<p>kata{i} <b>tebal</b></p>" for i in range(20_000))
+    nest = "<div>" * 2_000 + "dalam" + "</div>" * 2_000
+    plain = f"<html><body><article><h1>J</h1>{body}</article></body></html>"
+    nested = f"<html><body><div class='content'>{body}{nest}</div></body></html>"
+    (title, text), (_, deep) = read(spark, [plain, nested])
+    assert title == "J" and text.startswith("J kata0 tebal kata1") and text.endswith("kata19999 tebal")
+    assert deep.endswith("kata19999 tebal dalam")

@@ -85,7 +85,7 @@ def test_sections_match_a_search_with_lookahead(column):
     opens, closes = S.SECTION_LABELS["narasi"]
     look = re.compile(rf"(?is)(?:{'|'.join(opens)})\s*\n(.*?)(?=\n\s*(?:{'|'.join(closes)}))")
     expected = [" ".join(m.group(1).split()) if (m := look.search(v)) else "" for v in samples]
-    assert column(lambda c: S.section(c, opens, closes), samples) == expected
+    assert column(lambda c: S.section(S.line_breaks(c), opens, closes), samples) == expected
 
 
 VERDICT_AND_SOURCE = [
@@ -182,3 +182,19 @@ def test_dates(column):
 def test_lists(column):
     assert column(S.split_list, ["a | b||  | c ", " | ", "", None]) == [["a", "b", "c"], [], [], None]
     assert column(lambda c: S.join_list(S.split_list(c)), ["a|b"]) == ["a | b"]
+
+
+def test_long_texts_take_linear_time(column):
+    """Repeated labels without an end, long runs and many nodes, whole texts."""
+    import time
+
+    texts = [
+        "Penjelasan\n" + "Narasi\n" * 200_000,
+        "Narasi\n" + "kata " * 400_000 + "\nPenjelasan " + "x" * 1_000_000,
+        " " * 500_000 + "x" + "\n" * 500_000,
+    ]
+    start = time.time()
+    got = column(lambda c: S.all_sections(c)["narasi"], texts)
+    assert got == ["", ("kata " * 400_000).strip(), ""]
+    assert column(X.strip, texts[2:]) == ["x"] and column(X.clean, texts[2:]) == ["x"]
+    assert time.time() - start < 60
