@@ -71,8 +71,8 @@ def section(lines: Column, opens: list[str], closes: list[str]) -> Column:
     return clean(F.regexp_extract(reach, rf"(?isu){_any_label(opens)}\n(.*?){close}", 1))
 
 
-def all_sections(text: Column) -> dict[str, Column]:
-    lines = line_breaks(text)
+def all_sections(lines: Column) -> dict[str, Column]:
+    """All sections of a column whose ``line_breaks`` are already collapsed."""
     return {name: section(lines, *labels) for name, labels in SECTION_LABELS.items()}
 
 

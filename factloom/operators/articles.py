@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from ..functions import sections as S, text as X, urls as U
 from ..schemas import ARTICLE_FIELDS
@@ -10,16 +10,15 @@ from .pages import with_article_parts
 from .skew import HOT_MIN_ROWS, first_page_per_url, join_snapshot
 
 
-def section_columns(lines: Column) -> dict[str, Column]:
-    """Section, verdict, source and reference columns of line-separated text."""
-    found = S.all_sections(lines)
-    return {
-        "narasi": found["narasi"],
-        "penjelasan": found["penjelasan"],
-        "kesimpulan": found["kesimpulan"],
-        "hasil": found["hasil"],
-        "refs": S.reference_urls(lines),
-    }
+def with_sections(df: DataFrame, lines: str = "lines") -> DataFrame:
+    """Add section columns, the verdict block ``hasil`` and the array ``refs``.
+
+    Line breaks are collapsed in a column of their own, once for all sections.
+    """
+    broken = df.withColumn("_lines", S.line_breaks(F.col(lines)))
+    return broken.withColumns({
+        **S.all_sections(F.col("_lines")), "refs": S.reference_urls(F.col(lines))
+    }).drop("_lines")
 
 
 def article_fields(pages: DataFrame, fallback: bool = True) -> DataFrame:
@@ -29,8 +28,7 @@ def article_fields(pages: DataFrame, fallback: bool = True) -> DataFrame:
     """
     parts = with_article_parts(pages, fallback=fallback)
     return (
-        parts
-        .withColumns(section_columns(F.col("lines")))
+        with_sections(parts)
         .select(
             "page_id",
             S.first_label(F.col("headings")).alias("classification"),

@@ -62,7 +62,7 @@ def title_label(spark, sf):
 
 def section_extract(spark, sf):
     shaped = documents(spark, sf).select("doc_id", F.expr(Z.LINES).alias("lines"))
-    return shaped.select("doc_id", *[c.alias(n) for n, c in S.all_sections(F.col("lines")).items()])
+    return A.with_sections(shaped).select("doc_id", *S.SECTION_LABELS)
 
 
 def verdict_source_split(spark, sf):
@@ -414,12 +414,12 @@ def ordered_counts(spark, sf):
 
 
 def _document_articles(spark, sf):
-    lines = documents(spark, sf).select(
+    lines = A.with_sections(documents(spark, sf).select(
         F.concat(F.lit("https://d.example/"), F.col("doc_id").cast("string")).alias("url"),
         F.expr(Z.BRACKETED).alias("title"), F.col("lang").alias("category"),
         F.expr(f"CASE doc_id % 9 WHEN 0 THEN '' WHEN 1 THEN '99/99/9999' ELSE {Z.day('doc_id')} END").alias("date"),
         F.expr(Z.LINES).alias("lines"),
-    ).withColumns(A.section_columns(F.col("lines")))
+    ))
     record = {
         "classification": S.bracket_label(F.col("title")), "hasil_periksa": S.verdict(F.col("hasil")),
         "link_source": S.source_link(F.col("hasil")), "referensi": S.join_list(F.col("refs")),
