@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import chat, decontaminate, neighbours, quality, simhash, substrings, tokens, warc
+from . import chat, decontaminate, licences, main_text, neighbours, quality, simhash, substrings, tokens, warc
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -46,6 +46,11 @@ def op5_substrings(spark, sf):
     return done.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op6_main_text(spark, sf):
+    pages = table(spark, sf, "pages")
+    return main_text.extract(pages, main_text.train(pages))
+
+
 def op7_tokens(spark, sf):
     vocabulary = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
     coded = tokens.encode_documents(table(spark, sf, "documents"), *vocabulary)
@@ -65,15 +70,26 @@ def op9_warc(spark, sf):
     return warc.read_records(spark, folder, index).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op10_licences(spark, sf):
+    docs = table(spark, sf, "documents")
+    found = licences.scan(docs, licences.train(docs))
+    return found.select(
+        "doc_id", F.concat_ws(",", "families").alias("families"), F.size("findings").alias("n_findings"), "n_unconfirmed",
+        F.round(F.array_max(F.transform("findings", lambda f: f["probability"])), 4).alias("probability"),
+    )
+
+
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_quality": op2_quality,
     "op3_decontamination": op3_decontamination,
     "op4_chat": op4_chat,
     "op5_substrings": op5_substrings,
+    "op6_main_text": op6_main_text,
     "op7_tokens": op7_tokens,
     "op8_neighbours": op8_neighbours,
     "op9_warc": op9_warc,
+    "op10_licences": op10_licences,
 }
 
 # Digests of concatenated text, exact scores and payload groups are within SQL's reach.
