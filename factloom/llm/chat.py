@@ -26,7 +26,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .shared import slices
+from .shared import arrow_map, slices
 
 START, END = "<|im_start|>", "<|im_end|>"
 PATCH = 28  # pixels a side that one image token stands for
@@ -121,7 +121,7 @@ def format_turns(messages: DataFrame) -> DataFrame:
     source = messages.select(
         F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), F.col("role").cast("string").alias("role"), "parts"
     )
-    return source.mapInArrow(work, f"conv_id long, turn long, formatted string, loss_start long, loss_end long, attachments array<struct<{ATTACHMENT.replace(' string', ': string').replace(' long', ': long')}>>")
+    return arrow_map(source, work, f"conv_id long, turn long, formatted string, loss_start long, loss_end long, attachments array<struct<{ATTACHMENT.replace(' string', ': string').replace(' long', ': long')}>>")
 
 
 def text_messages(turns: DataFrame) -> DataFrame:
@@ -181,6 +181,6 @@ def read_back(formatted: DataFrame) -> DataFrame:
         return pa.RecordBatch.from_arrays([pa.array([d[i] for d in done], k) for i, k in enumerate(kinds)], names=names)
 
     ordered = formatted.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "formatted")
-    return ordered.select("conv_id", "formatted", "loss_start", "loss_end").mapInArrow(
+    return arrow_map(ordered.select("conv_id", "formatted", "loss_start", "loss_end"), 
         work, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
     )

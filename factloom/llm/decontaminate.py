@@ -23,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .shared import slices, utf8
+from .shared import arrow_map, slices, utf8
 
 WORDS_PER_BLOCK = 400_000
 SURROGATES = range(0xD800, 0xE000)
@@ -104,9 +104,9 @@ def find_passages(docs: DataFrame, benchmark: DataFrame, size: int = 10, key: st
         part = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block)
         # Bounded: about WORDS_PER_BLOCK words.
         sent = docs.sparkSession.sparkContext.broadcast([(r.item_id, r.text.encode()) for r in part.collect()])
-        work = work.mapInArrow(block_scan(sent, uuid.uuid4().hex, size), work.schema)
+        work = arrow_map(work, block_scan(sent, uuid.uuid4().hex, size), work.schema)
 
-    spans = work.mapInArrow(to_spans, f"row {work.schema['row'].dataType.simpleString()}, n_words long, n_hit long, {hit_type}")
+    spans = arrow_map(work, to_spans, f"row {work.schema['row'].dataType.simpleString()}, n_words long, n_hit long, {hit_type}")
     return spans.select("row.*", "n_words", "n_hit", F.array_sort(F.array_distinct("items")).alias("items"), "spans")
 
 

@@ -24,7 +24,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .shared import slices
+from .shared import arrow_map, slices
 
 SAMPLE = 1000
 
@@ -260,4 +260,4 @@ def extract(pages: DataFrame, weights: list[float]) -> DataFrame:
             )
 
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
-    return rows.mapInArrow(work, "page_id long, url string, text string, n_chars long")
+    return arrow_map(rows, work, "page_id long, url string, text string, n_chars long")

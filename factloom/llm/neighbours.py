@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from .shared import stored
+from .shared import arrow_map, stored
 
 QUERIES_PER_BLOCK = 4096
 ROWS = 1024
@@ -70,7 +70,7 @@ def encode(rows: DataFrame, size: int) -> DataFrame:
                     names=["vec_id", "vector", "code", "scale", "width"],
                 )
 
-    return rows.mapInArrow(work, "vec_id long, vector array<double>, code binary, scale double, width double")
+    return arrow_map(rows, work, "vec_id long, vector array<double>, code binary, scale double, width double")
 
 
 def best(query: np.ndarray, ids: np.ndarray, scores: np.ndarray, k: int) -> np.ndarray:
@@ -115,7 +115,7 @@ def search_block(index: DataFrame, ids: np.ndarray, vectors: np.ndarray, k: int)
                     held, bar = keep_best(held, bar, k)
         yield pa.RecordBatch.from_arrays([pa.array(query_ids[held[0]]), pa.array(held[1]), pa.array(held[2])], names=["query_id", "vec_id", "score"])
 
-    return index.mapInArrow(work, "query_id long, vec_id long, score double")
+    return arrow_map(index, work, "query_id long, vec_id long, score double")
 
 
 def keep_best(held: list[np.ndarray], bar: np.ndarray, k: int) -> tuple[list[np.ndarray], np.ndarray]:

@@ -25,12 +25,12 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .shared import Memo, slices, utf8
+from .shared import arrow_map, Memo, slices, utf8
 
 BITS = 18
 SAMPLE = 6000
 THRESHOLD = 0.3
-MEMO_WORDS = 300_000
+MEMO_WORDS = 50_000
 CLASSES = bytes(
     ord("A") if chr(b).isupper() and b < 128 else ord("0") if chr(b).isdigit() and b < 128 else ord("a") if chr(b).isalpha() or b >= 128 else b
     for b in range(256)
@@ -175,4 +175,4 @@ def score(docs: DataFrame, model: dict, carry: tuple[str, ...] = ("doc_id",), te
             )
 
     types = [f"c{i} {source.schema[f'c{i}'].dataType.simpleString()}" for i in kept]
-    return source.mapInArrow(work, ", ".join([*types, "score double"])).select(*[F.col(f"c{i}").alias(names[i]) for i in kept], "score")
+    return arrow_map(source, work, ", ".join([*types, "score double"])).select(*[F.col(f"c{i}").alias(names[i]) for i in kept], "score")

@@ -12,6 +12,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 
 ROWS_AT_ONCE = 256
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -38,6 +39,15 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def arrow_map(df: DataFrame, function: Callable, schema) -> DataFrame:
+    """``mapInArrow`` over short batches, as texts make wide rows; a session that has its
+    own batch size keeps it."""
+    conf = df.sparkSession.conf
+    if conf.get(BATCH_ROWS) == "10000":  # Spark's default
+        conf.set(BATCH_ROWS, "1000")
+    return df.mapInArrow(function, schema)
+
+
 def slices(batches: Iterator[pa.RecordBatch], rows: int = ROWS_AT_ONCE) -> Iterator[pa.RecordBatch]:
     """Short pieces of Arrow batches, so that few texts are Python objects at a time."""
     for batch in batches:

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from .components import components
-from .shared import arrow_rows, slices, stored, utf8
+from .shared import arrow_map, arrow_rows, slices, stored, utf8
 
 DISTANCE = 4
 SHINGLE = 4
@@ -72,7 +72,7 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
             codes = np.array([fingerprint(x) for x in utf8(batch.column(1))], np.uint64).view(np.int64)
             yield arrow_rows(out, **{key: batch.column(0)}, code=pa.array(codes))
 
-    return docs.select(F.col(key).cast("long").alias(key), F.col(text).cast("string")).mapInArrow(work, f"`{key}` long, code long")
+    return arrow_map(docs.select(F.col(key).cast("long").alias(key), F.col(text).cast("string")), work, f"`{key}` long, code long")
 
 
 def segments_first(codes: np.ndarray, first: tuple[int, int]) -> tuple[np.ndarray, np.ndarray]:
@@ -251,9 +251,9 @@ def search_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def near_links(codes: DataFrame) -> DataFrame:
     """``codes`` has ``code`` (distinct) and ``node``; returns links ``a``, ``b`` between
     nodes that connect exactly those groups that all links connect."""
-    rows = codes.select("code", "node").mapInArrow(in_tables, "tab int, head long, rank long, code long, node long")
+    rows = arrow_map(codes.select("code", "node"), in_tables, "tab int, head long, rank long, code long, node long")
     runs = stored(
-        rows.repartitionByRange("tab", "rank").sortWithinPartitions("tab", "rank").select("tab", "head", "code", "node").mapInArrow(search_runs, RUN_TYPE), "runs"
+        arrow_map(rows.repartitionByRange("tab", "rank").sortWithinPartitions("tab", "rank").select("tab", "head", "code", "node"), search_runs, RUN_TYPE), "runs"
     )
     blocks = runs.where("tab IS NOT NULL")
     top = blocks.select("tab", "head", "block", "mask", "pattern")
@@ -267,7 +267,7 @@ def near_links(codes: DataFrame) -> DataFrame:
     compared = pairs.join(body, ["tab", "block"]).join(far, ["tab", "other"]).select("codes", "nodes", "codes2", "nodes2")
     empty = F.lit(None).cast("array<long>")
     alone = blocks.where(F.size("codes") > 1).select("codes", "nodes", empty.alias("codes2"), empty.alias("nodes2"))
-    found = compared.unionByName(alone).mapInArrow(search_pairs, "a long, b long")
+    found = arrow_map(compared.unionByName(alone), search_pairs, "a long, b long")
     return runs.where("tab IS NULL").select("a", "b").unionByName(found)
 
 

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from .shared import slices, stored, utf8, word_hashes
+from .shared import arrow_map, slices, stored, utf8, word_hashes
 
 WINDOW = 35
 ANCHOR = 18
@@ -261,16 +261,16 @@ def drop_repeats(docs: DataFrame, carry: tuple[str, ...] = ("doc_id",), text: st
     anchor = (window + 1) // 2
     columns = [F.col(c).alias(f"c{i}") for i, c in enumerate(carry)]
     source = docs.select(*columns, F.col(text).cast("string").alias("_text"))
-    batches = stored(source.mapInArrow(packed, "batch long, n_words long, body binary"), "batches")
+    batches = stored(arrow_map(source, packed, "batch long, n_words long, body binary"), "batches")
     # A guess of the number of words: it only sets how many buckets share the work.
     buckets = max(1, -(-(batches.agg(F.sum("n_words")).first()[0] or 0) // BUCKET_ENTRIES))
     bodies = batches.select("batch", "body")
-    rows = bodies.mapInArrow(anchor_pass(buckets, anchor, window), ENTRY_TYPE)
+    rows = arrow_map(bodies, anchor_pass(buckets, anchor, window), ENTRY_TYPE)
     hits = stored(met_elsewhere(rows, 4, True), "anchor-hits")
-    rows = bodies.join(hits, "batch").mapInArrow(extension_pass(buckets, anchor, window), ENTRY_TYPE)
+    rows = arrow_map(bodies.join(hits, "batch"), extension_pass(buckets, anchor, window), ENTRY_TYPE)
     repeated = stored(met_elsewhere(rows, 12, False), "repeats")
     types = [f"c{i} {source.schema[f'c{i}'].dataType.simpleString()}" for i in range(len(carry))]
-    done = bodies.join(repeated, "batch", "left").select("body", "hits").mapInArrow(
+    done = arrow_map(bodies.join(repeated, "batch", "left").select("body", "hits"), 
         removal_pass(window), ", ".join([*types, "n_words long", "n_removed long", "kept string"])
     )
     return done.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(carry)], "n_words", "n_removed", "kept")

@@ -21,9 +21,9 @@ import regex
 import sentencepiece
 from pyspark.sql import DataFrame
 
-from .shared import Memo, arrow_rows, slices
+from .shared import arrow_map, arrow_rows, Memo, slices
 
-MEMO_ENTRIES = 400_000
+MEMO_ENTRIES = 150_000
 
 
 def byte_characters() -> list[str]:
@@ -120,7 +120,7 @@ def encode_documents(docs: DataFrame, path: str, pattern: str, key: str = "doc_i
                 ids=[struct.pack(f"<{len(x)}I", *x) for x in ids],
             )
 
-    return docs.select(docs[key].cast("long").alias(key), docs[text]).mapInArrow(encode, f"`{key}` long, n_tokens long, ids binary")
+    return arrow_map(docs.select(docs[key].cast("long").alias(key), docs[text]), encode, f"`{key}` long, n_tokens long, ids binary")
 
 
 def decode_documents(encoded: DataFrame, path: str, pattern: str, key: str = "doc_id") -> DataFrame:
@@ -135,4 +135,4 @@ def decode_documents(encoded: DataFrame, path: str, pattern: str, key: str = "do
                 [*batch.columns, pa.array([model.decode(struct.unpack(f"<{len(x) // 4}I", x)) for x in ids], pa.binary())], schema=out
             )
 
-    return encoded.select(key, "n_tokens", "ids").mapInArrow(decode, f"`{key}` long, n_tokens long, ids binary, decoded binary")
+    return arrow_map(encoded.select(key, "n_tokens", "ids"), decode, f"`{key}` long, n_tokens long, ids binary, decoded binary")

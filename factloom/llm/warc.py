@@ -27,7 +27,7 @@ from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .shared import fresh_path, slices, stored
+from .shared import arrow_map, fresh_path, slices, stored
 
 REVISIT_BYTES = 1000
 ARCHIVE_BYTES = 256 << 20
@@ -124,7 +124,7 @@ def write_archives(pages: DataFrame, folder: str) -> DataFrame:
         if archive:
             archive.out.close()
 
-    return stored(with_references(pages).mapInArrow(work, INDEX), "index")
+    return stored(arrow_map(with_references(pages), work, INDEX), "index")
 
 
 def joined_ranges(rows: list[tuple[int, int]]) -> Iterator[list[tuple[int, int]]]:
@@ -160,7 +160,7 @@ def read_records(spark: SparkSession, folder: str, selected: DataFrame) -> DataF
             source.close()
 
     ordered = selected.select("file", "offset", "length").repartition("file", F.floor(F.col("offset") / SPAN)).sortWithinPartitions("file", "offset")
-    return ordered.mapInArrow(work, READ)
+    return arrow_map(ordered, work, READ)
 
 
 def records(members: list[bytes]) -> pa.RecordBatch:
