@@ -24,7 +24,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .shared import arrow_map, slices
+from .shared import arrow_map, sampled, slices
 
 SAMPLE = 1000
 
@@ -245,7 +245,7 @@ def main_text(page: str, weights: list[float]) -> str:
 
 def train(pages: DataFrame, sample: int = SAMPLE) -> list[float]:
     rows = pages.select(F.col("page_id").cast("string").alias("page_id"), F.col("html").cast("string").alias("html"))
-    rows = rows.where("html IS NOT NULL").orderBy(F.xxhash64("page_id"), "page_id", F.xxhash64("html")).limit(sample)
+    rows = sampled(rows.where("html IS NOT NULL"), sample, "page_id").orderBy(F.xxhash64("page_id"), "page_id", F.xxhash64("html")).limit(sample)
     found = rows.select("html").groupBy().applyInPandas(fit, "weights array<double>").collect()
     return list(found[0].weights) if found else [0.0] * 6
 

@@ -25,7 +25,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .shared import arrow_map, Memo, slices, utf8
+from .shared import Memo, arrow_map, sampled, slices, utf8
 
 BITS = 18
 SAMPLE = 6000
@@ -146,7 +146,8 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> dict:
     """The model, learned from the labelled rows that are not held out."""
     chosen = labels.select(F.col("doc_id").cast("long").alias("id"), F.col("quality").cast("int").alias("label")).where(
         F.col("label").isin(0, 1) & F.col("id").isNotNull() & ~held_out(F.col("id"))
-    ).distinct().orderBy(F.xxhash64("id"), "id", "label").limit(sample)
+    )
+    chosen = sampled(chosen, sample, "id").distinct().orderBy(F.xxhash64("id"), "id", "label").limit(sample)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(
         F.broadcast(chosen), F.col("doc_id") == F.col("id")  # at most ``sample`` ids and labels
     )

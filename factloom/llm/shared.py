@@ -9,7 +9,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 ROWS_AT_ONCE = 256
 BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
@@ -45,7 +45,12 @@ def arrow_map(df: DataFrame, function: Callable, schema) -> DataFrame:
     conf = df.sparkSession.conf
     if conf.get(BATCH_ROWS) == "10000":  # Spark's default
         conf.set(BATCH_ROWS, "1000")
-    return df.mapInArrow(function, schema)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pa.set_memory_pool(pa.system_memory_pool())  # gives freed batches back to the system
+        return function(batches)
+
+    return df.mapInArrow(work, schema)
 
 
 def slices(batches: Iterator[pa.RecordBatch], rows: int = ROWS_AT_ONCE) -> Iterator[pa.RecordBatch]:
@@ -66,6 +71,13 @@ def arrow_rows(schema: pa.Schema, **columns) -> pa.RecordBatch:
     )
 
 
+def sampled(df: DataFrame, rows: int, *keys: str) -> DataFrame:
+    """About ``2 * rows`` rows, or all of a small table: those whose keys have small hashes.
+    A caller that needs a bound orders these few and limits them."""
+    share = min(1.0, 2 * rows / max(1, df.count()))
+    return df.where(F.pmod(F.xxhash64(*keys), F.lit(1 << 30)) < int(share * (1 << 30)) + 1)
+
+
 class Memo(dict):
     """A dictionary that computes what it lacks, for ``map(memo.__getitem__, …)``."""
 

@@ -4,7 +4,7 @@ Every ``ANCHOR`` consecutive words from a document's start are a reference block
 overlap.  A window of ``2 * ANCHOR - 1`` words always holds a whole block, so a repeated
 window has, in each of its places, some rolling word window that equals a block elsewhere.
 
-1. *Batches.* Whole documents are packed into batches of a few megabytes, compressed.
+1. *Batches.* Whole documents are packed into batches of a megabyte, compressed.
 2. *Anchors.* Each batch sends its distinct rolling hashes, packed by bucket, with a mark
    where one is a reference block.  A bucket answers which of them meet a block elsewhere.
 3. *Extension.* Only windows around an anchor hit are candidates.  Their 96-bit hashes are
@@ -30,7 +30,7 @@ from .shared import arrow_map, slices, stored, utf8, word_hashes
 
 WINDOW = 35
 ANCHOR = 18
-BATCH_BYTES = 3 << 20
+BATCH_BYTES = 1 << 20
 BUCKET_ENTRIES = 1 << 18
 MULTIPLIER = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 IPC = pa.ipc.IpcWriteOptions(compression="zstd")

@@ -21,7 +21,7 @@ import regex
 import sentencepiece
 from pyspark.sql import DataFrame
 
-from .shared import arrow_map, arrow_rows, Memo, slices
+from .shared import Memo, arrow_map, arrow_rows, slices
 
 MEMO_ENTRIES = 150_000
 
