@@ -91,6 +91,3 @@ QUERIES = {
     "op9_warc": op9_warc,
     "op10_licences": op10_licences,
 }
-
-# Digests of concatenated text, exact scores and payload groups are within SQL's reach.
-ORACLES: dict[str, str] = {}
