@@ -6,6 +6,7 @@ UDFs at the end.  The module is pickled by value, so executors need no install.
 
 from __future__ import annotations
 
+import re
 from html.parser import HTMLParser
 
 import pandas as pd
@@ -205,35 +206,32 @@ def article_parts(hidden):
     return F.pandas_udf(read, schema)
 
 
-def anchor_cards(hidden):
-    """Pandas UDF html -> (cards, anchors): every link and the text around it.
+def dated_anchors(hidden, date_pattern):
+    """Pandas UDF html -> anchors: every link with the first date in the text around it.
 
-    The text of an anchor's direct parent is kept once per parent; an anchor
-    holds the position of its card, so many links in one box stay cheap.
+    The text of an anchor's direct parent is searched once per parent and stays here,
+    so a page with many links costs one short row per link.
     """
-    hidden = frozenset(hidden)
-    schema = T.StructType([
-        T.StructField("cards", T.ArrayType(T.StringType())),
-        T.StructField("anchors", T.ArrayType(T.StructType([
-            T.StructField("href", T.StringType()),
-            T.StructField("card", T.IntegerType()),
-        ]))),
-    ])
+    hidden, find = frozenset(hidden), re.compile(date_pattern).search
+    schema = T.ArrayType(T.StructType([T.StructField("href", T.StringType()), T.StructField("date", T.StringType())]))
 
-    def read(html: pd.Series) -> pd.DataFrame:
+    def date_of(box):
+        parts = (t.strip() for t in box.texts(hidden))
+        found = find(" ".join(t for t in parts if t))
+        return found[0] if found else ""
+
+    def read(html: pd.Series) -> pd.Series:
         rows = []
         for page in html:
-            cards, anchors, position = [], [], {}
+            dates, anchors = {}, []
             for element in read_tree(page or "").walk():
                 if element.tag == "a" and "href" in element.attrs:
                     box = element.parent
-                    if id(box) not in position:
-                        position[id(box)] = len(cards)
-                        parts = (t.strip() for t in box.texts(hidden))
-                        cards.append(" ".join(t for t in parts if t))
-                    anchors.append((element.attrs["href"], position[id(box)]))
-            rows.append((cards, anchors))
-        return pd.DataFrame(rows, columns=["cards", "anchors"])
+                    if id(box) not in dates:
+                        dates[id(box)] = date_of(box)
+                    anchors.append({"href": element.attrs["href"], "date": dates[id(box)]})
+            rows.append(anchors)
+        return pd.Series(rows)
 
     return F.pandas_udf(read, schema)
 

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from ..functions import sections as S, text as X, urls as U
 from ..schemas import ARTICLE_FIELDS
 from .pages import with_article_parts
-from .skew import HOT_MIN_ROWS, first_page_per_url, join_snapshot
+from .skew import first_page_per_url, join_snapshot, only_pages, wanted_pages
 
 
 def with_sections(df: DataFrame, lines: str = "lines") -> DataFrame:
@@ -43,16 +43,17 @@ def article_fields(pages: DataFrame, fallback: bool = True) -> DataFrame:
 
 
 def article_records(
-    links: DataFrame, pages: DataFrame, min_rows: int = HOT_MIN_ROWS, fallback: bool = True
+    links: DataFrame, pages: DataFrame, min_rows: int | None = None, fallback: bool = True
 ) -> DataFrame:
     """Every link with the fields of its page; links without a page stay.
 
-    Only pages behind article links can match, so the rest of the snapshot is
-    filtered out before extraction.  Missing values are null.
+    Pages are found on narrow columns first; only those behind a link are read.
+    Missing values are null.
     """
     candidates = pages.where(U.is_article_link(F.col("url")))
+    known = wanted_pages(first_page_per_url(candidates), links)
     joined = join_snapshot(
-        links, first_page_per_url(candidates), article_fields(candidates, fallback),
+        links, known, article_fields(only_pages(candidates, known), fallback),
         ["article_id", "url"], min_rows=min_rows,
     )
     record = {
@@ -75,7 +76,13 @@ def typed_extras(articles: DataFrame) -> DataFrame:
     })
 
 
-def head(articles: DataFrame, max_rows: int | None) -> DataFrame:
-    """First rows in crawl order.  Ids are dense positions, so this is a filter
-    that reaches the scan rather than a sort."""
-    return articles.where(F.col("article_id") < max_rows) if max_rows is not None else articles
+def head(articles: DataFrame, max_rows: int | None, position: str | None = None) -> DataFrame:
+    """First ``max_rows`` rows in the order of ``article_id``, whatever its values; null
+    ids come last.  ``position`` names a column of dense positions from 0, if there is one:
+    then the cut is a filter that reaches the scan."""
+    if max_rows is None:
+        return articles
+    if position is not None:
+        return articles.where(F.col(position) < max_rows)
+    ties = [c for c in ("url",) if c in articles.columns]
+    return articles.orderBy(F.asc_nulls_last("article_id"), *ties).limit(max_rows)

@@ -8,7 +8,7 @@ from ..functions import text as X, urls as U
 from ..schemas import CONTENT_FIELDS
 from .fetch import fetch_status
 from .pages import with_page_text
-from .skew import HOT_MIN_ROWS, first_page_per_url, join_snapshot
+from .skew import first_page_per_url, join_snapshot, only_pages, wanted_pages
 
 
 def batch_stamp() -> Column:
@@ -52,27 +52,28 @@ def content_rows(
     attempts: DataFrame | None = None,
     rules: U.DomainRules | None = None,
     stamp: Column | None = None,
-    min_rows: int = HOT_MIN_ROWS,
+    min_rows: int | None = None,
     fallback: bool = True,
 ) -> DataFrame:
     """Content table for exploded sources.
 
-    Pages are read before the join: their text is smaller than their HTML, and
-    each is read once however many rows share its URL.  Pages whose URL is
-    never fetched are filtered out at the scan.
+    URLs are resolved to pages on narrow columns first, and only pages of wanted
+    URLs are read.  They are read before the join: their text is smaller than their
+    HTML, and each is read once however many rows share its URL.
     """
     rules = rules or U.DomainRules()
     routed = sources.withColumn("content_type", U.content_type(F.col("url"), rules))
     fetched = U.is_fetched(F.col("content_type"))
     wanted = routed.withColumn("_url", F.col("url")).withColumn("url", F.when(fetched, F.col("url")))
 
+    known = wanted_pages(fetch_table(pages, attempts, rules), wanted)
     snapshot = pages.withColumn("content_type", U.content_type(F.col("url"), rules)).where(fetched)
     read = with_page_text(
-        snapshot.select("page_id", "content_type", "html"), fallback=fallback
+        only_pages(snapshot.select("page_id", "content_type", "html"), known), fallback=fallback
     ).select("page_id", "title", "text", X.is_js_redirect(F.col("text")).alias("redirect"))
 
     joined = join_snapshot(
-        wanted, fetch_table(pages, attempts, rules), read,
+        wanted, known, read,
         ["article_id", "source_type", "source_index"], min_rows=min_rows,
     ).withColumn("url", F.col("_url"))
 

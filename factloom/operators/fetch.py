@@ -7,10 +7,11 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..schemas import SCRAPE_STATUSES
 
 # --- fixed values -----------------------------------------------------------
-MAX_ATTEMPTS = 3
 BLOCKED_CODES = [401, 403]
 # --- end of fixed values ----------------------------------------------------
 
+CODES = 1000  # an attempt and its status as one number: attempt * CODES + status
+
 
 def _code(status: str) -> Column:
     return F.lit(SCRAPE_STATUSES.index(status))
@@ -39,28 +40,33 @@ def is_final(outcome: Column) -> Column:
     return outcome.isin("http", "redirects")
 
 
-def fetch_status(attempts: DataFrame, max_attempts: int = MAX_ATTEMPTS) -> DataFrame:
+def _in_bound(max_attempts: int | None) -> Column:
+    return F.lit(True) if max_attempts is None else F.col("attempt") <= max_attempts
+
+
+def fetch_status(attempts: DataFrame, max_attempts: int | None = None) -> DataFrame:
     """(url, fetch_status): the first final attempt, else the last one.
 
-    Attempts past the limit are not part of a fetch.  The aggregation buffers
-    are integers, so a URL with many log rows shrinks before the shuffle.
+    Several logs of one URL may share attempt numbers; equal ones are settled by the
+    status alone, so the order of rows never matters.  With ``max_attempts`` later
+    attempts do not count, and a URL that has no other is an error.  The aggregation
+    buffers are integers, so a URL with many log rows shrinks before the shuffle.
     """
-    read = attempts.where(F.col("attempt") <= max_attempts).select(
-        "url", "attempt",
-        attempt_status(F.col("outcome"), F.col("http_status"), F.col("is_archive")).alias("code"),
+    code = attempt_status(F.col("outcome"), F.col("http_status"), F.col("is_archive"))
+    read = attempts.select(
+        "url", F.when(_in_bound(max_attempts), F.col("attempt").cast("bigint") * CODES + code).alias("place"),
         is_final(F.col("outcome")).alias("final"),
     )
-    first_final = F.min_by("code", F.when(F.col("final"), F.col("attempt")))
     names = F.array(*[F.lit(s) for s in SCRAPE_STATUSES])
     return read.groupBy("url").agg(
-        F.coalesce(first_final, F.max_by("code", "attempt")).alias("code")
-    ).select("url", F.get(names, F.col("code")).alias("fetch_status"))
+        F.coalesce(F.min(F.when(F.col("final"), F.col("place"))), F.max("place")).alias("place")
+    ).select(
+        "url", F.coalesce(F.get(names, F.pmod("place", F.lit(CODES)).cast("int")), F.lit("error")).alias("fetch_status")
+    )
 
 
-def page_availability(attempts: DataFrame, max_attempts: int = MAX_ATTEMPTS) -> DataFrame:
+def page_availability(attempts: DataFrame, max_attempts: int | None = None) -> DataFrame:
     """(url, available) under the simpler article-page rule: every failure is
     repeated, so one successful attempt is enough."""
-    success = (F.col("outcome") == "http") & (F.col("http_status") < 400)
-    return attempts.where(F.col("attempt") <= max_attempts).groupBy("url").agg(
-        F.coalesce(F.bool_or(success), F.lit(False)).alias("available")
-    )
+    success = (F.col("outcome") == "http") & (F.col("http_status") < 400) & _in_bound(max_attempts)
+    return attempts.groupBy("url").agg(F.coalesce(F.bool_or(success), F.lit(False)).alias("available"))

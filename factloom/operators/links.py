@@ -20,16 +20,11 @@ def in_page_range(list_pages: DataFrame, start_page: int = 1, max_pages: int | N
 
 def page_anchors(list_pages: DataFrame, base_url: str) -> DataFrame:
     """(page, pos, url, date) of every article link, duplicates included."""
-    read = html_tree.anchor_cards(H.HIDDEN_TAGS)(F.col("html"))
-    cards = list_pages.select("page", read.alias("read")).select(
-        "page",
-        F.transform("read.cards", S.first_date).alias("dates"),
-        F.posexplode("read.anchors").alias("pos", "anchor"),
-    )
-    return cards.where(U.is_article_link(F.col("anchor.href"))).select(
-        "page", "pos",
-        U.absolute_url(F.col("anchor.href"), base_url).alias("url"),
-        F.get("dates", F.col("anchor.card")).alias("date"),
+    read = html_tree.dated_anchors(H.HIDDEN_TAGS, S.DATE_PATTERN.replace(r"\p{Nd}", r"\d"))(F.col("html"))
+    # The outer form keeps the planner from adding a size test, which would read pages twice.
+    anchors = list_pages.select("page", F.posexplode_outer(read).alias("pos", "anchor"))
+    return anchors.where(U.is_article_link(F.col("anchor.href"))).select(
+        "page", "pos", U.absolute_url(F.col("anchor.href"), base_url).alias("url"), "anchor.date"
     )
 
 

@@ -7,16 +7,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions import html as H, html_tree, text as X
 
 
-def spread_scan(pages: DataFrame) -> DataFrame:
-    """Round-robin the rows when the scan has fewer splits than task slots.
-
-    A table of real size has far more splits than slots and passes untouched;
-    this only helps one-file snapshots, whose parsing would run on one core.
-    """
-    slots = pages.sparkSession.sparkContext.defaultParallelism
-    return pages.repartition(slots) if pages.rdd.getNumPartitions() < slots else pages
-
-
 def with_page_text(
     pages: DataFrame,
     html: str = "html",

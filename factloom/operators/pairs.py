@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from .skew import HOT_MIN_ROWS, spread_lookup
+from .skew import spread_lookup
 
 
 def claim_evidence_pairs(
@@ -12,7 +12,7 @@ def claim_evidence_pairs(
     content: DataFrame,
     usable_only: bool = True,
     drop_leaks: bool = False,
-    min_rows: int = HOT_MIN_ROWS,
+    min_rows: int | None = None,
 ) -> DataFrame:
     """One row per evidence source: claim, false source, true evidence.
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import urls as U
 from ..schemas import RULE_SCHEMA
-from .skew import HOT_MIN_ROWS, spread_lookup
+from .skew import spread_lookup
 
 
 def default_rules(spark: SparkSession, rules: U.DomainRules | None = None) -> DataFrame:
@@ -21,7 +21,7 @@ def resolve_rules(rules: DataFrame) -> DataFrame:
 
 
 def route_by_rules(
-    rows: DataFrame, rules: DataFrame, spread_by: list[str], min_rows: int = HOT_MIN_ROWS
+    rows: DataFrame, rules: DataFrame, spread_by: list[str], min_rows: int | None = None
 ) -> DataFrame:
     """Add ``domain`` and ``content_type`` from a rule table of any size.
 

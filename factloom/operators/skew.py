@@ -4,52 +4,61 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-# Keys beyond the HOT_KEYS most frequent ones each hold less than 1/HOT_KEYS of
-# the rows, so the hot set is bounded by a constant and safe to broadcast.
-HOT_KEYS = 1000
+from ..session import stored
+
+# Keys with fewer rows than this are never worth splitting.
 HOT_MIN_ROWS = 100_000
-SALTS = 64
 
 
-def hot_keys(
-    rows: DataFrame, key: str, top: int = HOT_KEYS, min_rows: int = HOT_MIN_ROWS
-) -> DataFrame:
-    """At most ``top`` keys with at least ``min_rows`` rows each."""
-    return (
-        rows.where(F.col(key).isNotNull())
-        .groupBy(key).agg(F.count("*").alias("_n"))
-        .where(F.col("_n") >= min_rows)
-        .orderBy(F.desc("_n"), key).limit(top)
-        .select(key)
-    )
+def tasks(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def hot_keys(rows: DataFrame, key: str, min_rows: int | None = None) -> DataFrame:
+    """``key`` and ``_salts``, the parts to split it into, for every key with more rows
+    than half a task's share of the table (or than ``min_rows``).
+
+    A table has at most twice as many such keys as tasks, so the set is bounded by the
+    cluster and safe to broadcast, and no part is larger than that share.
+    """
+    counts = rows.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("_n"))
+    if min_rows is None:
+        share = counts.agg(F.coalesce(F.sum("_n"), F.lit(0))).scalar() / (2 * tasks(rows))
+        part = F.greatest(share, F.lit(float(HOT_MIN_ROWS)))
+    else:
+        part = F.lit(float(min_rows))
+    return counts.where(F.col("_n") >= part).select(key, F.ceil(F.col("_n") / part).cast("int").alias("_salts"))
 
 
-def _flagged(df: DataFrame, hot: DataFrame, key: str) -> DataFrame:
-    return df.join(F.broadcast(hot.withColumn("_hot", F.lit(True))), key, "left")
+def _flagged(df: DataFrame, hot: DataFrame, key: str, salts: int | None) -> DataFrame:
+    return df.join(F.broadcast(hot.withColumn("_salts", F.lit(salts)) if salts else hot), key, "left")
 
 
-def salted(rows: DataFrame, hot: DataFrame, key: str, spread_by: list[str], salts: int = SALTS) -> DataFrame:
-    """Add ``_salt``: spread over the salts for hot and null keys, else 0.
+def salted(rows: DataFrame, hot: DataFrame, key: str, spread_by: list[str], salts: int | None = None) -> DataFrame:
+    """Add ``_salt``: spread over a hot key's parts, or all tasks for null keys, else 0.
 
     The salt is a hash of the row's own identity, so a re-run task produces the
     same one.  ``_spread`` keeps the unconditional value for later joins.
     """
-    spread = F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int")
+    identity = F.xxhash64(*spread_by)
     return (
-        _flagged(rows, hot, key)
-        .withColumn("_spread", spread)
-        .withColumn("_salt", F.when(F.col("_hot") | F.col(key).isNull(), F.col("_spread")).otherwise(0))
-        .drop("_hot")
+        _flagged(rows, hot, key, salts)
+        .withColumn("_spread", F.pmod(identity, F.lit(salts or tasks(rows))).cast("int"))
+        .withColumn(
+            "_salt",
+            F.when(F.col(key).isNull(), F.col("_spread"))
+            .otherwise(F.coalesce(F.pmod(identity, F.col("_salts")).cast("int"), F.lit(0))),
+        )
+        .drop("_salts")
     )
 
 
-def replicated(lookup: DataFrame, hot: DataFrame, key: str, salts: int = SALTS) -> DataFrame:
-    """Lookup rows of hot keys once per salt, all others once."""
-    every = F.sequence(F.lit(0), F.lit(salts - 1))
+def replicated(lookup: DataFrame, hot: DataFrame, key: str, salts: int | None = None) -> DataFrame:
+    """Lookup rows of hot keys once per part, all others once."""
     return (
-        _flagged(lookup, hot, key)
-        .withColumn("_salt", F.explode(F.when(F.col("_hot"), every).otherwise(F.array(F.lit(0)))))
-        .drop("_hot")
+        _flagged(lookup, hot, key, salts)
+        .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1)))
+        .drop("_salts")
     )
 
 
@@ -59,12 +68,12 @@ def spread_lookup(
     key: str,
     spread_by: list[str],
     how: str = "left",
-    min_rows: int = HOT_MIN_ROWS,
-    salts: int = SALTS,
+    min_rows: int | None = None,
+    salts: int | None = None,
 ) -> DataFrame:
     """``rows`` joined to a lookup that is unique on ``key``.
 
-    Hot keys of ``rows`` are divided over ``salts`` tasks and null keys never
+    Hot keys of ``rows`` are divided over several tasks and null keys never
     gather in one.  Small lookups are still broadcast, by AQE, on measured size.
     """
     hot = hot_keys(rows, key, min_rows=min_rows)
@@ -80,8 +89,8 @@ def join_snapshot(
     fetches: DataFrame,
     extracted: DataFrame,
     spread_by: list[str],
-    min_rows: int = HOT_MIN_ROWS,
-    salts: int = SALTS,
+    min_rows: int | None = None,
+    salts: int | None = None,
 ) -> DataFrame:
     """Attach page columns to rows by URL, moving page text in one shuffle only.
 
@@ -92,7 +101,7 @@ def join_snapshot(
     hot = hot_keys(rows, "url", min_rows=min_rows)
     hot_pages = (
         fetches.join(F.broadcast(hot), "url")
-        .where(F.col("page_id").isNotNull()).select("page_id")
+        .where(F.col("page_id").isNotNull()).select("page_id", "_salts")
     )
     resolved = (
         salted(rows, hot, "url", spread_by, salts)
@@ -112,6 +121,21 @@ def first_page_per_url(pages: DataFrame) -> DataFrame:
     return pages.groupBy("url").agg(F.min("page_id").alias("page_id"))
 
 
+def wanted_pages(known: DataFrame, rows: DataFrame) -> DataFrame:
+    """The rows of ``known`` whose ``url`` occurs in ``rows``.
+
+    Narrow and stored: the planner then knows its size, so a small set is broadcast
+    to the page scan and HTML is shuffled only for a large one.
+    """
+    urls = rows.where(F.col("url").isNotNull()).select("url").distinct()
+    return stored(known.join(urls, "url", "left_semi"), "wanted")
+
+
+def only_pages(pages: DataFrame, known: DataFrame) -> DataFrame:
+    """The pages that ``known`` names, before anything is read from their HTML."""
+    return pages.join(known.where(F.col("page_id").isNotNull()).select("page_id").distinct(), "page_id", "left_semi")
+
+
 def block_offsets(df: DataFrame, block: str, amount: Column) -> DataFrame:
     """Running total of ``amount`` before each block.
 

@@ -1,12 +1,11 @@
-"""End-to-end jobs: article build, content build, spot check, summaries."""
+"""End-to-end jobs: article build, content build, run counts, spot check."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.urls import DomainRules
 from ..operators import articles as A, content as C, links as L, quality as Q, resume as R
-from ..operators.skew import HOT_MIN_ROWS
 from ..operators.sources import explode_sources
 
 
@@ -16,7 +15,7 @@ def build_articles(
     base_url: str,
     start_page: int = 1,
     max_pages: int | None = None,
-    min_rows: int = HOT_MIN_ROWS,
+    min_rows: int | None = None,
 ) -> DataFrame:
     """List pages and article pages -> article table with ``article_id``."""
     links = L.collect_links(list_pages, base_url, start_page, max_pages)
@@ -31,8 +30,7 @@ def build_content(
     max_rows: int | None = None,
     rules: DomainRules | None = None,
     stamp: Column | None = None,
-    key: str = "article_id",
-    min_rows: int = HOT_MIN_ROWS,
+    min_rows: int | None = None,
 ) -> DataFrame:
     """Article table -> content rows of the articles that have none yet.
 
@@ -40,10 +38,16 @@ def build_content(
     """
     todo = A.head(articles, max_rows)
     if done is not None:
-        todo = R.pending(todo, done, key)
+        todo = R.pending(todo, done, "article_id")
     return C.content_rows(explode_sources(todo), pages, attempts, rules, stamp, min_rows)
 
 
+def run_counts(articles: DataFrame, done: DataFrame, max_rows: int | None = None) -> DataFrame:
+    """One row: the articles that a content run over the same arguments processes."""
+    todo = R.pending(A.head(articles, max_rows), done, "article_id")
+    return todo.agg(F.count("*").alias("articles_processed"))
+
+
 def spot_check(seeds: DataFrame, pages: DataFrame) -> DataFrame:
     """Field report for the articles named by a seed list."""
     links = seeds.selectExpr("url", "date", "category", "cast(null as bigint) AS article_id")

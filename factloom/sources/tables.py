@@ -100,8 +100,16 @@ def _as_content(df: DataFrame) -> DataFrame:
     return df.withColumn("source_type", X.lower_text(F.col("source_type"))).select(*CONTENT_FIELDS)
 
 
-def write_articles(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite") -> None:
-    _write(_as_articles(df), path, fmt, mode)
+def write_articles(
+    df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite", keyed: bool = False
+) -> None:
+    """``keyed`` keeps ``article_id`` as the first column, which the content stream needs."""
+    fields = _as_articles(df)
+    if keyed:
+        fields = df.select(
+            F.col("article_id").cast("bigint"), *[F.col(c).cast("string").alias(c) for c in ARTICLE_FIELDS]
+        )
+    _write(fields, path, fmt, mode)
 
 
 def write_content(

@@ -16,7 +16,6 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.urls import DomainRules
-from ..operators.skew import HOT_MIN_ROWS
 from ..plans.builds import build_content
 from ..schemas import ARTICLE_SCHEMA, CONTENT_SCHEMA
 from ..sources.tables import empty_table
@@ -41,6 +40,25 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
         raise
 
 
+def keyed(articles: DataFrame) -> DataFrame:
+    """Articles without a key get one from their address: negative, so that it meets no
+    position or number, and the same in every batch."""
+    own = -F.pmod(F.xxhash64(F.coalesce("url", F.lit(""))), F.lit(2**62)) - 1
+    return articles.withColumn("article_id", F.coalesce("article_id", own))
+
+
+def require_key(spark: SparkSession, path: str) -> None:
+    """Article files that were written without their key are an error, not null keys."""
+    try:
+        found = spark.read.parquet(path).columns
+    except AnalysisException as error:
+        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return
+        raise
+    if "article_id" not in found:
+        raise ValueError(f"{path} has no article_id: write the articles keyed or pass stable_key")
+
+
 def one_per_article(articles: DataFrame, key: str = "article_id") -> DataFrame:
     """One row per article.  Copies collapse before the shuffle, and the choice
     depends on the rows only, so a repeated task makes the same one."""
@@ -62,7 +80,7 @@ def content_batch_writer(
     attempts: DataFrame | None = None,
     rules: DomainRules | None = None,
     stamp: Column | None = None,
-    min_rows: int = HOT_MIN_ROWS,
+    min_rows: int | None = None,
 ):
     """The ``foreachBatch`` function."""
 
@@ -72,7 +90,7 @@ def content_batch_writer(
         own = (F.col("stream_id") == stream_id) & (F.col("batch_id") == batch_id)
         done = read_table(spark, out).where(~own)
         rows = build_content(
-            one_per_article(batch), pages, attempts, done,
+            one_per_article(keyed(batch)), pages, attempts, done,
             rules=rules, stamp=stamp, min_rows=min_rows,
         )
         rows.write.mode("overwrite").parquet(f"{out}/stream_id={stream_id}/batch_id={batch_id}")
@@ -91,14 +109,17 @@ def run_incremental(
     stamp: Column | None = None,
     stable_key: Column | None = None,
     max_files_per_trigger: int | None = None,
-    min_rows: int = HOT_MIN_ROWS,
+    min_rows: int | None = None,
 ) -> StreamingQuery:
     """Process all article files that are new to the checkpoint, then stop.
 
     ``stable_key`` replaces ``article_id``.  Positions shift when a newest-first
     listing is crawled again, so repeated crawls should pass the number in the
-    article address (``urls.article_number``).
+    article address (``urls.article_number``).  Articles whose key is null are told
+    apart by their address.
     """
+    if stable_key is None:
+        require_key(spark, articles_path)
     reader = spark.readStream.schema(ARTICLE_STREAM_SCHEMA)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)

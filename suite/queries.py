@@ -24,11 +24,11 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 
 def documents(spark, sf):
-    return P.spread_scan(table(spark, sf, "documents"))
+    return table(spark, sf, "documents")
 
 
 def pages(spark, sf):
-    return P.spread_scan(table(spark, sf, "pages"))
+    return table(spark, sf, "pages")
 
 
 # --- text functions ----------------------------------------------------------
@@ -513,6 +513,29 @@ def incremental_content(spark, sf):
         "article_id", "source_type", "source_index", "url", "content_type", "title", "text", "scrape_status")
 
 
+def run_counts(spark, sf):
+    """Articles that a content run still processes when the labelled ones are done."""
+    articles = table(spark, sf, "documents").selectExpr("doc_id AS article_id", "source AS url")
+    done = table(spark, sf, "labels").selectExpr("doc_id AS article_id")
+    return builds.run_counts(articles, done)
+
+
+def article_stream(spark, sf):
+    """Both phases joined: articles written with their key, then streamed twice."""
+    root = scratch_dir(spark, "phases")
+    IO.write_articles(_plain_articles(spark, sf).select(
+        "article_id", *[F.col(c) if c in ("link_source", "referensi") else F.lit(None).cast("string").alias(c) for c in IO.ARTICLE_FIELDS]
+    ), f"{root}/articles", keyed=True)
+    snapshot = f"{root}/snapshot"
+    _snapshot(spark, sf).write.parquet(snapshot)
+    for _ in range(2):
+        incremental.run_incremental(
+            spark, f"{root}/articles", spark.read.parquet(snapshot), f"{root}/content", f"{root}/checkpoint", rules=RULES, stamp=F.lit("fixed"),
+        ).awaitTermination()
+    return incremental.read_table(spark, f"{root}/content").select(
+        "article_id", "source_type", "source_index", "url", "content_type", "title", "text", "scrape_status")
+
+
 QUERIES = {f.__name__: f for f in (
     clean_text, lower_text, previews, title_label, section_extract, verdict_source_split, reference_urls,
     article_dates, js_redirect_flag, paywall_strip,
@@ -525,5 +548,5 @@ QUERIES = {f.__name__: f for f in (
     resume_pending, seed_lookup, spot_check, claim_evidence_pairs, claim_evidence_no_leaks,
     label_counts, ordered_counts, article_summary, article_counts, empty_counts, field_completeness,
     date_range, reference_stats, content_summary, content_counts,
-    csv_articles, content_round_trip, incremental_content,
+    csv_articles, content_round_trip, incremental_content, article_stream, run_counts,
 )}

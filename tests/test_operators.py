@@ -124,13 +124,13 @@ def test_fetch_status_on_all_triples(spark):
     for n, (triple, archive) in enumerate(itertools.product(itertools.product(kinds, repeat=3), (False, True))):
         want[f"u{n}"] = replay(triple, archive)
         rows += [(f"u{n}", i, o, c, archive) for i, (o, c) in enumerate(triple, 1)] + [(f"u{n}", 4, "http", 200, archive)]
-    got = {r.url: r.fetch_status for r in fetch.fetch_status(spark.createDataFrame(rows, ATTEMPT_SCHEMA)).collect()}
+    got = {r.url: r.fetch_status for r in fetch.fetch_status(spark.createDataFrame(rows, ATTEMPT_SCHEMA), 3).collect()}
     assert len(want) == 1024 and got == want
 
 
 def test_page_availability(spark):
     rows = [("a", 1, "http", 404, False), ("a", 2, "http", 200, False), ("b", 1, "http", 500, False), ("b", 4, "http", 200, False)]
-    got = {r.url: r.available for r in fetch.page_availability(spark.createDataFrame(rows, ATTEMPT_SCHEMA)).collect()}
+    got = {r.url: r.available for r in fetch.page_availability(spark.createDataFrame(rows, ATTEMPT_SCHEMA), 3).collect()}
     assert got == {"a": True, "b": False}
 
 
@@ -309,3 +309,51 @@ def test_logged_counts_are_consistent(spark):
     rows = [(k,) for k, n in classes.items() for _ in range(n)]
     counts = {r.value: r.n for r in Q.value_counts(spark.createDataFrame(rows, "classification string"), ["classification"]).collect()}
     assert counts == {k: n for k, n in classes.items() if k} and sum(counts.values()) == 890
+
+
+def test_head_on_stable_keys(spark):
+    rows = spark.createDataFrame([(35285, "b"), (35281, "a"), (None, "c")], "article_id long, url string")
+    assert [r.article_id for r in A.head(rows, 2).collect()] == [35281, 35285]
+    assert A.head(rows, 9).count() == 3 and A.head(rows, None).count() == 3 and A.head(rows, 0).count() == 0
+
+
+def test_late_attempts_count_and_ties_are_settled(spark):
+    rows = [("late", 4, "http", 404, False), ("tie", 1, "http", 200, False), ("tie", 1, "http", 404, False), ("tie2", 1, "conn", 0, False), ("tie2", 1, "timeout", 0, False)]
+    for order in (rows, rows[::-1]):
+        log = spark.createDataFrame(order, ATTEMPT_SCHEMA).coalesce(1)
+        got = {r.url: r.fetch_status for r in fetch.fetch_status(log).collect()}
+        assert got["late"] == "404"
+        seen = got if order is rows else seen
+        assert got == seen
+        assert {r.url: r.fetch_status for r in fetch.fetch_status(log, 3).collect()}["late"] == "error"
+        assert {r.url: r.available for r in fetch.page_availability(log).collect()} == {"late": False, "tie": True, "tie2": False}
+
+
+def test_every_hot_key_is_split(spark):
+    """More keys above the bound than any fixed limit, each split by its own size."""
+    rows = spark.range(20_000).select("id", F.when(F.col("id") < 8000, F.lit(-1)).otherwise(F.pmod("id", F.lit(1500))).alias("key"))
+    hot = skew.hot_keys(rows, "key", min_rows=5)
+    assert hot.count() == 1501
+    assert hot.where("key = -1").first()._salts == 1600
+    assert skew.hot_keys(rows, "key").count() == 0  # under the least size worth a split
+    spread = skew.salted(rows, hot, "key", ["id"]).where("key = -1").groupBy("_salt").count()
+    assert spread.agg(F.max("count")).first()[0] < 40
+
+
+def test_a_page_of_many_cards(spark):
+    card = "<li><a href='/articles/{0}-x'>t {0}</a> text of the card, 01/02/2026</li>"
+    html = "<ul>" + "".join(card.format(i) for i in range(20_000)) + "</ul>"
+    lists = spark.createDataFrame([(1, html)], "page int, html string")
+    got = L.page_anchors(lists, BASE).agg(F.count("*"), F.min("date"), F.max("date")).first()
+    assert tuple(got) == (20_000, "01/02/2026", "01/02/2026")
+    plan = L.page_anchors(lists, BASE)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
+
+
+def test_only_wanted_pages_are_read(spark):
+    """The page scan is cut to the wanted URLs before any HTML is read."""
+    rows, articles, pages, attempts = golden(spark)
+    read = builds.build_content(articles.limit(1), pages, attempts, stamp=F.lit("t"))
+    text = read._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftSemi" in text
+    assert builds.run_counts(articles, articles.limit(1)).first()[0] == articles.count() - 1
