@@ -94,23 +94,27 @@ def find_passages(docs: DataFrame, benchmark: DataFrame, size: int = 10, key: st
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).where("text IS NOT NULL")
     n_words = items.agg(F.sum(F.size(F.split("text", "[^0-9A-Za-z\\x80-\\x{10FFFF}]+")))).first()[0] or 0
     blocks = max(1, -(-n_words // WORDS_PER_BLOCK))
-    hit_type = "items array<long>, spans array<struct<start: long, end: long>>"
     kept = list(dict.fromkeys([key, *carry]))
     work = docs.select(F.col("text").cast("string").alias("_text"), *[F.col(c) for c in kept]).select(
         F.struct(*kept).alias("row"), F.col("_text").alias("text"), F.lit(0).cast("long").alias("n_words"),
         F.lit(None).cast("binary").alias("hit"), F.array().cast("array<long>").alias("items"),
     )
+    result = (
+        f"row {work.schema['row'].dataType.simpleString()}, n_words long, n_hit long, items array<long>, spans array<struct<start: long, end: long>>"
+    )
     for block in range(blocks):
         part = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block)
         # Bounded: about WORDS_PER_BLOCK words.
         sent = docs.sparkSession.sparkContext.broadcast([(r.item_id, r.text.encode()) for r in part.collect()])
-        work = arrow_map(work, block_scan(sent, uuid.uuid4().hex, size), work.schema)
+        last = block == blocks - 1
+        work = arrow_map(work, block_scan(sent, uuid.uuid4().hex, size, last), result if last else work.schema)
+    return work.select("row.*", "n_words", "n_hit", F.array_sort(F.array_distinct("items")).alias("items"), "spans")
 
-    spans = arrow_map(work, to_spans, f"row {work.schema['row'].dataType.simpleString()}, n_words long, n_hit long, {hit_type}")
-    return spans.select("row.*", "n_words", "n_hit", F.array_sort(F.array_distinct("items")).alias("items"), "spans")
 
+def block_scan(sent, name: str, size: int, last: bool):
+    """The pass of one block: marks so far go in and out; the last one turns them into spans."""
+    span = pa.struct([("start", pa.int64()), ("end", pa.int64())])
 
-def block_scan(sent, name: str, size: int):
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if name not in BUILT:
             if len(BUILT) > 8:
@@ -119,27 +123,24 @@ def block_scan(sent, name: str, size: int):
         windows = BUILT[name]
         for batch in slices(batches):
             counts, hits, found = [], [], []
-            for text, hit, items in zip(utf8(batch.column(1)), batch.column(3).to_pylist(), batch.column(4).to_pylist()):
+            texts = utf8(batch.column(1))
+            for text, hit, items in zip(texts, batch.column(3).to_pylist(), batch.column(4).to_pylist()):
                 words = words_of(text)
                 marks = bytearray(hit) if hit else bytearray(len(words))
                 more = {windows.items[n] for n in windows.find(words, marks)}
                 counts.append(len(words))
                 hits.append(bytes(marks) if 1 in marks else None)
                 found.append(items + [x for x in more if x is not None])
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(counts, pa.int64()), pa.array(hits, pa.binary()), pa.array(found, pa.list_(pa.int64()))],
-                names=["row", "text", "n_words", "hit", "items"],
-            )
+            counts, found = pa.array(counts, pa.int64()), pa.array(found, pa.list_(pa.int64()))
+            if last:
+                spans = [hit_spans(text, bytearray(hit)) if hit else [] for text, hit in zip(texts, hits)]
+                hit_counts = pa.array([hit.count(1) if hit else 0 for hit in hits], pa.int64())
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0), counts, hit_counts, found, pa.array(spans, pa.list_(span))], names=["row", "n_words", "n_hit", "items", "spans"]
+                )
+            else:
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0), batch.column(1), counts, pa.array(hits, pa.binary()), found], names=["row", "text", "n_words", "hit", "items"]
+                )
 
     return scan
-
-
-def to_spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    span = pa.struct([("start", pa.int64()), ("end", pa.int64())])
-    for batch in slices(batches):
-        hits = batch.column(3).to_pylist()
-        spans = [hit_spans(text, bytearray(hit)) if hit else [] for text, hit in zip(utf8(batch.column(1)), hits)]
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0), batch.column(2), pa.array([hit.count(1) if hit else 0 for hit in hits], pa.int64()), batch.column(4), pa.array(spans, pa.list_(span))],
-            names=["row", "n_words", "n_hit", "items", "spans"],
-        )

@@ -16,6 +16,7 @@ import functools
 import struct
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import regex
 import sentencepiece
@@ -71,28 +72,27 @@ class Codec:
         with open(path, "rb") as lines:
             ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
         self.tokens = sorted(ranks, key=ranks.__getitem__)
-        self.whole = {token.decode(): [rank] for token, rank in ranks.items() if valid(token)}
+        self.whole = {token.decode(): struct.pack("<I", rank) for token, rank in ranks.items() if valid(token)}
         self.model = sentencepiece.SentencePieceProcessor(model_proto=piece_model(self.tokens))
         self.table = dict(enumerate(byte_characters()))
         self.find = regex.compile(pattern).findall
         self.memo = Memo(self.pieces)
 
-    def pieces(self, pre_token: str) -> list[int]:
+    def pieces(self, pre_token: str) -> bytes:
         # A pre-token that is a token is that token, also where merges would miss it.
         if found := self.whole.get(pre_token):
             return found
-        return self.model.encode(pre_token.encode().decode("latin-1").translate(self.table))
+        ids = self.model.encode(pre_token.encode().decode("latin-1").translate(self.table))
+        return struct.pack(f"<{len(ids)}I", *ids)
 
-    def encode(self, text: str) -> list[int]:
+    def encode(self, text: str) -> bytes:
+        """Ids as little-endian unsigned 32-bit integers."""
         if len(self.memo) > MEMO_ENTRIES:
             self.memo.clear()
-        ids: list[int] = []
-        for found in map(self.memo.__getitem__, self.find(text)):
-            ids += found
-        return ids
+        return b"".join(map(self.memo.__getitem__, self.find(text)))
 
-    def decode(self, ids) -> bytes:
-        return b"".join(map(self.tokens.__getitem__, ids))
+    def decode(self, ids: bytes) -> bytes:
+        return b"".join(map(self.tokens.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
 
 def valid(token: bytes) -> bool:
@@ -115,10 +115,7 @@ def encode_documents(docs: DataFrame, path: str, pattern: str, key: str = "doc_i
         model = codec(path, pattern)
         for batch in slices(batches):
             ids = [model.encode(value or "") for value in batch.column(1).to_pylist()]
-            yield arrow_rows(
-                out, **{key: batch.column(0)}, n_tokens=[len(x) for x in ids],
-                ids=[struct.pack(f"<{len(x)}I", *x) for x in ids],
-            )
+            yield arrow_rows(out, **{key: batch.column(0)}, n_tokens=[len(x) // 4 for x in ids], ids=ids)
 
     return arrow_map(docs.select(docs[key].cast("long").alias(key), docs[text]), encode, f"`{key}` long, n_tokens long, ids binary")
 
@@ -132,7 +129,7 @@ def decode_documents(encoded: DataFrame, path: str, pattern: str, key: str = "do
         for batch in slices(batches):
             ids = [x or b"" for x in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array([model.decode(struct.unpack(f"<{len(x) // 4}I", x)) for x in ids], pa.binary())], schema=out
+                [*batch.columns, pa.array([model.decode(x) for x in ids], pa.binary())], schema=out
             )
 
     return arrow_map(encoded.select(key, "n_tokens", "ids"), decode, f"`{key}` long, n_tokens long, ids binary, decoded binary")
