@@ -2,8 +2,11 @@
 
 import hashlib
 
+import pytest
+
 import corpus_pipeline
-from factloom.llm import queries
+from factloom.llm import oracles, queries
+from suite.check import compare, connect
 
 SF = "/root/testdata/sf0.001"
 
@@ -30,3 +33,15 @@ def test_pipeline_stages(spark):
 
 def test_run_has_the_rows_of_the_stages(spark):
     assert corpus_pipeline.run(spark, SF).columns == ["doc_id", "n_tokens", "ids", "decoded_sha256"]
+
+
+def test_queries_are_registered():
+    import __spark_entry__ as driver
+
+    assert {*queries.QUERIES, "pipeline"} <= set(driver.queries()) and set(oracles.ORACLES) <= set(driver.oracle_sql())
+    assert {n.split("_")[0] for n in queries.QUERIES} == {f"op{i}" for i in range(1, 11)}
+
+
+@pytest.mark.parametrize("name", sorted(oracles.ORACLES))
+def test_query_equals_sql(spark, name):
+    assert compare(queries.QUERIES[name](spark, SF), connect(SF), oracles.ORACLES[name]) == ""
