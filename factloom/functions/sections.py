@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
 from pyspark.sql import Column, functions as F
 
-from .text import SPACE, blank_to_null, clean, strip
+from .text import SPACE, SPACES, blank_to_null, clean, strip
 
 # --- fixed values -----------------------------------------------------------
 # Section -> (labels that open it, labels that close it).
@@ -51,29 +52,61 @@ def bracket_label(title: Column) -> Column:
     return strip(F.regexp_extract(plain, r"\[([^\]]+)\]", 1))
 
 
-def line_breaks(text: Column) -> Column:
-    """Every run of white space that holds a line break becomes one line break.
-    Matching starts at run starts only, so long runs are read once."""
-    return F.regexp_replace(text, rf"(?<![{SPACE}])[{SPACE}&&[^\n]]*+\n[{SPACE}]*+", "\n")
+def line_list(text: Column) -> Column:
+    """Lines of a text without white space around them; blank ones are left out."""
+    lines = F.transform(F.split(text, "\n"), lambda line: F.btrim(line, F.lit(SPACES)))
+    return F.filter(lines, lambda line: line != "")
 
 
-def section(lines: Column, opens: list[str], closes: list[str]) -> Column:
+def _starts(line: Column, labels: list[str]) -> Column:
+    """The line starts with a label; only its first characters are looked at."""
+    return F.substring(line, 1, max(map(len, labels))).rlike(rf"(?iu)\A{_any_label(labels)}")
+
+
+def _ends(line: Column, labels: list[str]) -> Column:
+    return F.right(line, F.lit(max(map(len, labels)))).rlike(rf"(?iu){_any_label(labels)}\z")
+
+
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once, also where ``use`` reads it in a loop."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def label_lines(lines: Column, sections: dict = SECTION_LABELS) -> Column:
+    """Places, from 1, of the few lines that can open or close a section."""
+    opens = [label for labels, _ in sections.values() for label in labels]
+    closes = [label for _, labels in sections.values() for label in labels]
+    found = F.transform(lines, lambda line, i: F.when(_starts(line, closes) | _ends(line, opens), i + 1))
+    return F.array_compact(found)
+
+
+def section(lines: Column, places: Column, opens: list[str], closes: list[str]) -> Column:
     """Text between a line that ends in an opening label and the next line that
     starts with a closing label; empty when either is missing.
 
-    ``lines`` has its ``line_breaks`` collapsed.  It is first cut behind its last
-    closing label: an opening label inside the cut then has a closing one after
-    it, so no search runs to the end of a long text in vain.  The closing label
-    is consumed rather than looked ahead at.
+    ``lines`` is a ``line_list`` and ``places`` its ``label_lines``.  At least one line
+    lies between the two labels, so an empty section runs on into the next one.
     """
-    close = rf"\n{_any_label(closes)}"
-    reach = F.regexp_extract(lines, rf"(?isu)\A.*{close}", 0)
-    return clean(F.regexp_extract(reach, rf"(?isu){_any_label(opens)}\n(.*?){close}", 1))
-
-
-def all_sections(lines: Column) -> dict[str, Column]:
-    """All sections of a column whose ``line_breaks`` are already collapsed."""
-    return {name: section(lines, *labels) for name, labels in SECTION_LABELS.items()}
+    def body(lines: Column, places: Column) -> Column:
+        def line(at: Column) -> Column:
+            return F.get(lines, at - 1)
+
+        return _let(F.filter(places, lambda at: _starts(line(at), closes)), lambda closing: _let(
+            F.array_max(closing), lambda last: _let(
+                F.array_min(F.filter(places, lambda at: (at + 2 <= last) & _ends(line(at), opens))),
+                lambda start: _let(
+                    F.array_min(F.filter(closing, lambda at: at >= start + 2)),
+                    lambda end: F.array_join(F.slice(lines, start + 1, end - start - 1), " "),
+                ),
+            ),
+        ))
+
+    found = _let(lines, lambda own: _let(places, lambda few: body(own, few)))
+    return clean(F.when(places.isNotNull(), F.coalesce(found, F.lit(""))))
+
+
+def all_sections(lines: Column, places: Column) -> dict[str, Column]:
+    return {name: section(lines, places, *labels) for name, labels in SECTION_LABELS.items()}
 
 
 _SOURCE = rf"{SOURCE_LABEL}[{SPACE}]*[:\-]?[{SPACE}]*(https?://[^{SPACE}]+)"

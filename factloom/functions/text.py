@@ -11,6 +11,7 @@ import re
 from pyspark.sql import Column, functions as F
 
 SPACE = r" \t\n\x0b\f\r\x1c\x1d\x1e\x1f\x85\p{Z}"
+SPACES = "".join(c for c in map(chr, range(0x3001)) if c.isspace())  # the same set as characters
 
 # --- fixed values -----------------------------------------------------------
 # A short page that shows one of these is a script-driven waiting page.

@@ -13,12 +13,13 @@ from .skew import first_page_per_url, join_snapshot, only_pages, wanted_pages
 def with_sections(df: DataFrame, lines: str = "lines") -> DataFrame:
     """Add section columns, the verdict block ``hasil`` and the array ``refs``.
 
-    Line breaks are collapsed in a column of their own, once for all sections.
+    A text is cut into lines once, and the few lines with a label are found once.
     """
-    broken = df.withColumn("_lines", S.line_breaks(F.col(lines)))
-    return broken.withColumns({
-        **S.all_sections(F.col("_lines")), "refs": S.reference_urls(F.col(lines))
-    }).drop("_lines")
+    cut = df.withColumn("_lines", S.line_list(F.col(lines)))
+    cut = cut.withColumn("_places", S.label_lines(F.col("_lines")))
+    return cut.withColumns({
+        **S.all_sections(F.col("_lines"), F.col("_places")), "refs": S.reference_urls(F.col(lines))
+    }).drop("_lines", "_places")
 
 
 def article_fields(pages: DataFrame, fallback: bool = True) -> DataFrame:

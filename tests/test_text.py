@@ -65,10 +65,15 @@ SECTIONS = [
 ]
 
 
+def sections_of(text):
+    lines = S.line_list(text)
+    return S.all_sections(lines, S.label_lines(lines))
+
+
 def test_sections(column):
     texts, narasi, kesimpulan = zip(*SECTIONS)
-    assert column(lambda c: S.all_sections(S.line_breaks(c))["narasi"], texts) == list(narasi)
-    assert column(lambda c: S.all_sections(S.line_breaks(c))["kesimpulan"], texts) == list(kesimpulan)
+    assert column(lambda c: sections_of(c)["narasi"], texts) == list(narasi)
+    assert column(lambda c: sections_of(c)["kesimpulan"], texts) == list(kesimpulan)
 
 
 def test_sections_match_a_search_with_lookahead(column):
@@ -85,7 +90,7 @@ def test_sections_match_a_search_with_lookahead(column):
     opens, closes = S.SECTION_LABELS["narasi"]
     look = re.compile(rf"(?is)(?:{'|'.join(opens)})\s*\n(.*?)(?=\n\s*(?:{'|'.join(closes)}))")
     expected = [" ".join(m.group(1).split()) if (m := look.search(v)) else "" for v in samples]
-    assert column(lambda c: S.section(S.line_breaks(c), opens, closes), samples) == expected
+    assert column(lambda c: S.section(S.line_list(c), S.label_lines(S.line_list(c)), opens, closes), samples) == expected
 
 
 VERDICT_AND_SOURCE = [
@@ -194,7 +199,7 @@ def test_long_texts_take_linear_time(column):
         " " * 500_000 + "x" + "\n" * 500_000,
     ]
     start = time.time()
-    got = column(lambda c: S.all_sections(S.line_breaks(c))["narasi"], texts)
+    got = column(lambda c: sections_of(c)["narasi"], texts)
     assert got == ["", ("kata " * 400_000).strip(), ""]
     assert column(X.strip, texts[2:]) == ["x"] and column(X.clean, texts[2:]) == ["x"]
     assert time.time() - start < 60
