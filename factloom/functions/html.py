@@ -3,7 +3,7 @@
 A page is read as a few linear regular-expression passes inside the JVM.  They
 are exact for pages whose relevant elements do not nest in themselves.  The
 ``needs_tree`` flag marks every other page (nested or unclosed containers,
-containers picked by class or id, rare entities, ``>`` inside attributes);
+containers picked by class or id, rare named entities, ``>`` inside attributes);
 ``operators.pages`` sends only those through the tree reader in ``html_tree``.
 
 Text nodes are kept apart by ``CUT``, a character HTML text cannot contain.
@@ -11,6 +11,8 @@ Text nodes are kept apart by ``CUT``, a character HTML text cannot contain.
 
 from __future__ import annotations
 
+from html.entities import name2codepoint
+
 from pyspark.sql import Column, functions as F
 
 from .text import SPACE, clean, collapse, strip
@@ -53,15 +55,19 @@ ARCHIVE_CONTAINERS = [
 NEWS_MIN_LENGTH = 200
 ARCHIVE_MIN_LENGTH = 100
 
-# Entities decoded natively; pages with any other one go to the tree reader.
+# Entities decoded natively, with those of Latin-1 below and numeric ones; pages with
+# any other one go to the tree reader.
 ENTITIES = {
-    "lt": "<", "gt": ">", "quot": '"', "apos": "'", "nbsp": "\xa0",
-    "copy": "\xa9", "reg": "\xae", "middot": "\xb7", "laquo": "\xab", "raquo": "\xbb",
+    "lt": "<", "gt": ">", "quot": '"', "apos": "'",
     "ndash": "–", "mdash": "—", "lsquo": "‘", "rsquo": "’",
     "ldquo": "“", "rdquo": "”", "hellip": "…", "amp": "&",
 }
 # --- end of fixed values ----------------------------------------------------
 
+ENTITIES.update({name: chr(code) for name, code in name2codepoint.items() if 0xA0 <= code <= 0xFF})
+# Numeric references to the C1 range mean what Windows-1252 has there.
+C1 = [ord(bytes([b]).decode("cp1252", "ignore") or chr(b)) for b in range(0x80, 0xA0)]
+NUMERIC = r"#(?:[xX][0-9a-fA-F]+|[0-9]+);?"
 VOID_NOISE = {"meta", "link"}
 TAG = r"<(?:/?[a-zA-Z]|[!?])[^>]*>"
 _NEEDS_SEMICOLON = ["apos", "ndash", "mdash", "lsquo", "rsquo", "ldquo", "rdquo", "hellip"]
@@ -110,25 +116,36 @@ def is_unclear(tags: Column, tag: str) -> Column:
     return (start > 0) & ~F.coalesce(F.get(own, start) == f"/{tag}", F.lit(False))
 
 
-def _known_entity() -> str:
-    bare = "|".join(name for name in ENTITIES if name not in _NEEDS_SEMICOLON)
-    return rf"(?:(?:{'|'.join(ENTITIES)});|(?:{bare}))"
-
-
-def decode_entities(text: Column) -> Column:
-    """Replace the entities of ``ENTITIES``; work grows with the ampersands in
-    the text, and what a replacement yields is never read again."""
-    values = F.create_map(*[
-        F.lit(part) for name, value in ENTITIES.items()
-        for part in (name, value, f"{name};", value)
-    ])
-    start = rf"\A{_known_entity()}"
+# Written as SQL text: one expression for the driver to build, however many there are.
+# ``#N;`` or ``#xH;``: what stands for no character is empty or U+FFFD.
+_DIGITS = "ltrim('0', regexp_replace(found, '[#xX;]', ''))"
+_CODE = (
+    "coalesce(try_cast(if(lower(substring(found, 2, 1)) = 'x', "
+    f"conv(substring({_DIGITS}, 1, 9), 16, 10), substring({_DIGITS}, 1, 9)) AS bigint), 0)"
+)
+_CHARACTER = f"""CASE
+ WHEN length({_DIGITS}) > 8 OR code = 0 OR code > 1114111 OR code BETWEEN 55296 AND 57343 THEN '\\ufffd'
+ WHEN code BETWEEN 1 AND 8 OR code = 11 OR code BETWEEN 14 AND 31 OR code = 127
+  OR code BETWEEN 64976 AND 65007 OR (code & 65534) = 65534 THEN ''
+ ELSE decode(unhex(lpad(hex(if(code BETWEEN 128 AND 159, array({', '.join(map(str, C1))})[cast(code - 128 AS int)], code)), 8, '0')), 'UTF-32') END"""
+_NUMERIC_VALUE = f"transform(array({_CODE}), code -> {_CHARACTER})[0]"
+_VALUES = ", ".join(
+    f"'{name}{end}', '\\u{ord(value):04x}'" for name, value in ENTITIES.items()
+    for end in ((";",) if name in _NEEDS_SEMICOLON else (";", ""))
+)
 
-    def after_ampersand(part: Column, position: Column) -> Column:
-        value = F.coalesce(F.try_element_at(values, F.regexp_extract(part, start, 0)), F.lit("&"))
-        return F.when(position == 0, part).otherwise(F.concat(value, F.regexp_replace(part, start, "")))
 
-    decoded = F.array_join(F.transform(F.split(text, "&"), after_ampersand), "")
+def decode_entities(text: Column, attribute: bool = False) -> Column:
+    """Replace numeric entities and those of ``ENTITIES``; work grows with the ampersands
+    in the text, and what a replacement yields is never read again.  In an attribute an
+    entity without semicolon before ``=`` is none."""
+    start = rf"\A(?:{NUMERIC}|[a-zA-Z][a-zA-Z0-9]*+(?:;|{'(?!=)' if attribute else ''}))"
+    value = f"if(startswith(found, '#'), {_NUMERIC_VALUE}, try_element_at(map({_VALUES}), found))"
+    replaced = f"coalesce(concat({value}, substring(part, length(found) + 1)), concat('&', part))"
+    after_ampersand = F.expr(
+        f"(part, place) -> if(place = 0, part, transform(array(regexp_extract(part, r'{start}', 0)), found -> {replaced})[0])"
+    )
+    decoded = F.array_join(F.call_function("transform", F.split(text, "&"), after_ampersand), "")
     return F.when(text.contains("&"), decoded).otherwise(text)
 
 
@@ -220,10 +237,10 @@ def is_torn(page: Column) -> Column:
 
 
 def has_foreign_entity(nodes: Column) -> Column:
-    """An entity outside ``ENTITIES`` in undecoded text nodes."""
+    """A named entity outside ``ENTITIES``, or a torn one, in undecoded text nodes."""
     closed = "|".join(ENTITIES)
     bare = "|".join(name for name in ENTITIES if name not in _NEEDS_SEMICOLON)
-    known = rf"(?:(?:{closed});|(?:{bare})(?![a-zA-Z0-9;=]))"
+    known = rf"(?:{NUMERIC}|(?:{closed});|(?:{bare})(?![a-zA-Z0-9;=]))"
     return nodes.contains("&") & nodes.rlike(rf"&(?!{known})(?:#|[a-zA-Z][a-zA-Z0-9])")
 
 
@@ -259,20 +276,32 @@ def selector_count(html: Column, selector: str) -> Column:
         value = rf"""(?:"(?:[^">]*\s)?{name}(?:\s[^">]*)?"|'(?:[^'>]*\s)?{name}(?:\s[^'>]*)?'|{name}(?=[\s>]))"""
         return F.regexp_count(page, F.lit(rf"(?s)<[a-zA-Z][^>]*\s(?i:class)\s*=\s*{value}"))
     if " " in selector:
-        outer, inner = selector.split()
-        blocks = F.regexp_extract_all(page, F.lit(rf"(?is)<{outer}(?:[\s/][^>]*)?>(.*?)(?:</{outer}\s*>|\z)"), 1)
-        return F.regexp_count(F.array_join(blocks, CUT), F.lit(_open(inner)))
+        return _descendant_count(page, *selector.split())
     return F.regexp_count(page, F.lit(_open(selector)))
 
 
+def _descendant_count(page: Column, outer: str, inner: str) -> Column:
+    """Elements ``inner`` that lie in any open ``outer``, by the depth of ``outer``."""
+    tags = F.transform(F.regexp_extract_all(page, F.lit(rf"(?i)<(/?(?:{outer}|{inner}))(?=[\s/>])"), 1), F.lower)
+
+    def step(seen: Column, tag: Column) -> Column:
+        depth = seen["depth"]
+        inside = F.when((tag == inner) & (depth > 0), 1).otherwise(0)
+        change = F.when(tag == outer, 1).when((tag == f"/{outer}") & (depth > 0), -1).otherwise(0)
+        return F.struct((depth + change).alias("depth"), (seen["n"] + inside).alias("n"))
+
+    start = F.struct(F.lit(0).alias("depth"), F.lit(0).alias("n"))
+    return F.aggregate(tags, start, step, lambda seen: seen["n"])
+
+
 def first_site_link(html: Column, site: str) -> Column:
     """Address and text start of the first link whose address names the site."""
-    needle = F.lit(site)
     anchors = F.regexp_extract_all(visible(html), F.lit(r"(?is)(<a\s[^>]*>.*?</a\s*>)"), 1)
-    href = r"""(?is)^<a\s(?:[^>]*?\s)?href\s*=\s*["']?([^"'>\s]*)"""
-    hit = F.get(F.filter(anchors, lambda a: F.contains(F.regexp_extract(a, href, 1), needle)), F.lit(0))
-    stripped = F.array_join(F.transform(F.split(nodes(hit), CUT), strip), "")
-    return F.struct(
-        F.regexp_extract(hit, href, 1).alias("href"),
-        F.substring(decode_entities(stripped), 1, 80).alias("text"),
-    )
+    value = r"""(?is)^<a\s(?:[^>]*?\s)?href\s*=\s*(?:"([^"]*)"|'([^']*)'|([^"'\s>][^\s>]*))"""
+
+    def address(anchor: Column) -> Column:
+        return decode_entities(F.concat(*[F.regexp_extract(anchor, value, i) for i in (1, 2, 3)]), attribute=True)
+
+    hit = F.get(F.filter(anchors, lambda a: F.contains(address(a), F.lit(site))), F.lit(0))
+    texts = F.transform(F.split(nodes(hit), CUT), lambda node: strip(decode_entities(node)))
+    return F.struct(address(hit).alias("href"), F.substring(F.array_join(texts, ""), 1, 80).alias("text"))

@@ -126,6 +126,34 @@ def test_first_site_link(spark):
     assert tuple(got[0].l) == ("https://s.example/1", "ab") and tuple(got[1].l) == (None, None)
 
 
+NUMERIC = [
+    "&#8217;", "&#038;", "&#x2019;", "&#X1F600;", "&#128;x", "&#x81;", "&#0;", "&#13;", "&#1;", "&#11;", "&#127;", "&#xFDD0;", "&#65535;",
+    "&#x1FFFE;", "&#xD800;", "&#1114112;", "&#99999999999999999999;", "&#xFFFFFFFFFFFFFFFFFF;", "&#65", "&#65x", "&#x41g", "&#00000000065;",
+    "&eacute;", "&eacute x", "&frac12;", "&THORN;", "&sup2 ", "&Uuml;&uuml;", "&amp;#65;", "&amp;eacute;", "&szlig", "&#38;amp;", "&yen;5",
+]
+
+
+def test_numeric_and_latin_entities_are_native(spark):
+    pages = [f"<html><head><title>t</title></head><body><p>a{e} b</p></body></html>" for e in NUMERIC]
+    assert read(spark, pages, fallback=False) == tree(spark, pages, "news_site")
+    rows = spark.createDataFrame([(f"a{e} b",) for e in NUMERIC], "v string")
+    assert rows.where(H.has_foreign_entity(F.col("v"))).count() == 0
+    foreign = spark.createDataFrame([("&notin;",), ("&copyx",), ("&#x;",), ("&alpha;",)], "v string")
+    assert foreign.where(H.has_foreign_entity(F.col("v"))).count() == 4
+
+
+def test_selectors_and_links_beyond_flat_markup(spark):
+    nested = "<table><tbody><tr><td><table><tbody><tr></tr></tbody></table></td></tr><tr></tr></tbody></table><tr></tr>"
+    rows = spark.createDataFrame([(nested,), ("<TBODY><tr><TR>",), ("</tbody><tr></tr>",), (None,)], "html string")
+    assert [r.n for r in rows.select(H.selector_count(F.col("html"), "tbody tr").alias("n")).collect()] == [3, 2, 0, None]
+    links = [
+        ("<a href='/x?a=1&amp;b=2'>It&#8217;s&nbsp;</a>", "/x?a=1&b=2", "It\u2019s"), ("<a class=c href=/x/1&copy=2> a<b>&nbsp;b&eacute;</b></a>", "/x/1&copy=2", "ab\xe9"),
+        ('<a href="/y">n</a><a href="/x y">z</a>', "/x y", "z"), ("<a href=&#47;x>q</a>", "/x", "q"),
+    ]
+    rows = spark.createDataFrame([(html,) for html, *_ in links], "html string").select(H.first_site_link(F.col("html"), "/x").alias("l"))
+    assert [tuple(r.l) for r in rows.collect()] == [tuple(want) for _, *want in links]
+
+
 def test_large_page(spark):
     """Many elements and a long text in one page, native and through the tree."""
     body = "".join(f"<p>kata{i} <b>tebal</b></p>" for i in range(20_000))
