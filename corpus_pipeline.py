@@ -9,7 +9,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from factloom.llm import decontaminate, quality, simhash, substrings, tokens
+from factloom.llm import decontaminate, quality, similar, simhash, substrings, tokens
 from factloom.llm.shared import stored
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -22,9 +22,10 @@ def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each near-duplicate group.  Rows that share
-    an id are one document; rows without an id stay."""
-    groups = simhash.near_duplicates(docs)
+    """The document with the smallest id of each near-duplicate group, linked by SimHash
+    as in op1 or by a five-word Jaccard similarity of 0.8 or more.  Rows that share an id
+    are one document; rows without an id stay."""
+    groups = simhash.near_duplicates(docs, more=similar.similar_links(docs))
     copies = groups.where("component_id < doc_id").select("doc_id").distinct()
     return docs.select(*COLUMNS).join(copies, "doc_id", "left_anti").select(*COLUMNS)
 

@@ -271,12 +271,17 @@ def near_links(codes: DataFrame) -> DataFrame:
     return runs.where("tab IS NULL").select("a", "b").unionByName(found)
 
 
-def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", more: DataFrame | None = None) -> DataFrame:
     """``key``, ``fingerprint`` (16 hex digits) and ``component_id``, the smallest ``key``
-    reachable over links of at most four differing bits."""
+    reachable over links of at most four differing bits, and over the links ``a``, ``b``
+    between keys that ``more`` adds."""
     codes = stored(fingerprints(docs, key, text), "fingerprints")
     first = stored(codes.where(F.col(key).isNotNull()).groupBy("code").agg(F.min(key).alias("node")), "codes")
-    groups = components(near_links(first))
+    links = near_links(first)
+    if more is not None:  # between keys, so each is led to the node of its fingerprint
+        node_of = codes.join(first, "code").select(F.col(key).alias("id"), "node")
+        links = links.unionByName(more.select("a", "b")).unionByName(node_of.where("id <> node").select(F.col("id").alias("a"), F.col("node").alias("b")))
+    groups = components(links)
     labels = first.join(groups, "node", "left").select("code", F.coalesce("component", "node").alias("component_id"))
     return codes.join(labels, "code", "left").select(
         key, F.lower(F.lpad(F.hex("code"), 16, "0")).alias("fingerprint"), "component_id"

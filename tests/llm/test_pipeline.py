@@ -45,3 +45,42 @@ def test_queries_are_registered():
 @pytest.mark.parametrize("name", sorted(oracles.ORACLES))
 def test_query_equals_sql(spark, name):
     assert compare(queries.QUERIES[name](spark, SF), connect(SF), oracles.ORACLES[name]) == ""
+
+
+def test_near_dedup_finds_five_word_similarity(spark):
+    import random
+
+    rng = random.Random(4)
+
+    def changed(words, n):
+        return [w if i % (len(words) // n) != 9 else f"x{i}" for i, w in enumerate(words)]
+
+    def sets(text):
+        words = text.split()
+        return {tuple(words[i:i + 5]) for i in range(len(words) - 4)}
+
+    texts = []
+    for group in range(12):
+        words = [f"w{rng.randrange(5000)}" for _ in range(400)]
+        texts += [words, changed(words, 8), changed(words, 16)]
+    texts = [" ".join(t) for t in texts]
+    like = [[len(sets(a) & sets(b)) / len(sets(a) | sets(b)) for b in texts] for a in texts]
+    assert all(0.8 <= like[i][i + 1] < 0.9 and like[i][i + 2] < 0.8 for i in range(0, 36, 3))
+    parent = list(range(len(texts)))
+    for _ in range(4):  # smallest labels travel along the links of a group of three
+        parent = [min(parent[j] for j in range(len(texts)) if like[i][j] >= 0.8) for i in range(len(texts))]
+    rows = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in enumerate([*texts, None, ""])], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = {r.doc_id for r in corpus_pipeline.near_dedup(spark, rows, SF).collect()}
+    assert kept == {p for i, p in enumerate(parent) if p == i} | {36}
+
+
+def test_similar_links_connect_a_bucket_beyond_its_smallest_node(spark):
+    from factloom.llm import similar
+
+    base = [f"w{i}" for i in range(300)]
+    far = [w if i % 20 else f"y{i}" for i, w in enumerate(base)]  # in buckets of base, below 0.8
+    texts = [base, far, far[:-3] + ["q", "r", "s"], far[:-2] + ["t", "u"], base[:-1] + ["z"]]
+    rows = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    found = {(r.a, r.b) for r in similar.similar_links(rows).collect()}
+    assert (0, 4) in found and all(a in (0, 4) and b in (0, 4) or a not in (0, 4) and b not in (0, 4) for a, b in found)
+    assert {n for pair in found for n in pair} == set(range(5))
