@@ -59,8 +59,8 @@ TOKEN = re.compile(
     r"|<[!?/][^>]*(?:>|\Z)",
     re.DOTALL | re.IGNORECASE,
 )
-NAMES = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.IGNORECASE)
-UNSEEN = re.compile(r"(?<![\w-])hidden(?![\w-])|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.IGNORECASE)
+ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
+UNSEEN = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*hidden)\s*(?=[;!]|$)", re.IGNORECASE)
 CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
 NAMED, SHAPE_LIMIT = 8.0, 3.0
@@ -92,11 +92,17 @@ def sign_of(tag: str, attrs: str, above: Element) -> int:
     """1 or -1 where the element itself names a region of content or of boilerplate."""
     sign = -1 if tag in BAD_TAGS or tag == "header" and above.sign <= 0 else 1 if tag in GOOD_TAGS else 0
     if attrs:
-        if UNSEEN.search(attrs):
-            return -1
         words: set[str] = set()
-        for match in NAMES.finditer(attrs):
-            words.update(re.split("[^a-z]+", CAMEL.sub(" ", match[2] or match[3] or match[4] or "").lower()))
+        for match in ATTRIBUTE.finditer(attrs):
+            name, value = match[1].lower(), match[2] or match[3] or match[4] or ""
+            if name in ("class", "id", "role"):
+                words.update(re.split("[^a-z]+", CAMEL.sub(" ", value).lower()))
+            elif (
+                name == "hidden" and value.strip().lower() != "until-found"
+                or name == "aria-hidden" and value.strip().lower() == "true"
+                or name == "style" and UNSEEN.search(html.unescape(value))
+            ):
+                return -1
         if words & BAD_WORDS or words & {"header", "heading"} and "header" in words and above.sign <= 0 and tag != "body":
             return -1
         if words & GOOD_WORDS and sign == 0 and tag != "body":

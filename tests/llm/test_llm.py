@@ -277,6 +277,16 @@ def test_main_text_of_regions(markup, text):
     assert main_text.main_text(PAGE.replace("{}", markup, 1), [-2.0, 1.0, -3.0, 1.5, 1.0, -1.0]) == text
 
 
+@pytest.mark.parametrize("attrs, kept", [
+    ("style='overflow:hidden'", True), ('style="color:red; overflow: hidden"', True), ("title='A hidden gem'", True), ("hidden=until-found", True),
+    ("data-note='display:none'", True), ("aria-hidden=false", True), ("hidden", False), ("HIDDEN=''", False), ("aria-hidden = 'true'", False),
+    ("style='color:red;Display : none !important'", False), ("style=visibility:hidden", False),
+])
+def test_main_text_hides_by_attribute_name(attrs, kept):
+    page = PAGE.replace("{}", f"<article {attrs}><p>Whole text.</p></article>", 1)
+    assert main_text.main_text(page, [-2.0, 1.0, -3.0, 1.5, 1.0, -1.0]) == "Whole text." * kept
+
+
 def test_main_text_without_named_regions_goes_by_shape():
     body = "".join(f"<p>{prose(i, 40)}.</p>" for i in range(3)) + "<p>Short.</p>" + f"<p>{prose(9, 40)}.</p>"
     page = "<div><div><a href=1>Home</a></div><div><a href=2>News</a></div></div><div>" + body + "</div>"
