@@ -30,7 +30,8 @@ SAMPLE = 1000
 
 # Elements of HTML by what they do to the text.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-HIDDEN = "script style template noscript iframe svg math object canvas textarea select head title audio video"
+RAW = "script|style|textarea|title|iframe"  # only their end tag ends them
+HIDDEN = "template|noscript|svg|math|object|canvas|select|audio|video"
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark nobr q rp rt ruby s samp small span "
     "strike strong sub sup time tt u var wbr".split()
@@ -40,7 +41,7 @@ CLOSES = {  # an opening element that ends the open one
     "li": {"li", "p"}, "dt": {"dt", "dd", "p"}, "dd": {"dt", "dd", "p"}, "tr": {"tr", "td", "th", "p"}, "td": {"td", "th", "p"}, "th": {"td", "th", "p"}, "option": {"option"},
 }
 BARRIER = frozenset("ul ol dl table article section aside nav header footer main div form body blockquote".split())
-BAD_TAGS = frozenset("nav footer aside form button dialog menu fieldset".split())
+BAD_TAGS = frozenset("nav footer aside form button dialog menu fieldset".split()) | frozenset(HIDDEN.split("|"))
 GOOD_TAGS = frozenset("article main".split())
 BAD_WORDS = frozenset(
     "ad ads advert advertisement advertising adverts banner sponsor sponsored promo promotion nav navigation navbar menu menubar breadcrumb "
@@ -53,7 +54,10 @@ GOOD_WORDS = frozenset("article articlebody content main post entry story".split
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    rf"|<(?P<hidden>{HIDDEN.replace(' ', '|')})(?=[\s/>])[^>]*>.*?(?:</(?P=hidden)\s*>|\Z)"
+    rf"|<(?P<raw>{RAW})(?=[\s/>])[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
+    r"|<(?P<closed>svg|math)(?:\s(?:[^>\"']|\"[^\"]*\"|'[^']*')*(?<=[\s\"']))?/>"
+    # Whole ones; those that hold one of their kind or have no end tag are ordinary elements of boilerplate.
+    rf"|<(?P<hidden>{HIDDEN})(?=[\s/>])[^>]*>(?:(?!</?(?P=hidden)[\s/>]).)*</(?P=hidden)\s*>"
     r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>[^>\"']*(?:\"[^\"]*\"[^>\"']*|'[^']*'[^>\"']*)*)>"
     r"|<(?P<end2>/?)(?P<tag2>[a-zA-Z][^\s/>]*)[^>]*(?:>|\Z)"
     r"|<[!?/][^>]*(?:>|\Z)",
@@ -137,7 +141,7 @@ def blocks_of(page: str) -> list[Block]:
             say(page[at:match.start()])
         at = match.end()
         tag = (match["tag"] or match["tag2"] or "").lower()
-        if not tag or match["hidden"]:
+        if not tag:
             continue
         if tag == "br":
             say(" ")
@@ -167,7 +171,7 @@ def blocks_of(page: str) -> list[Block]:
                     if now.tag in ended:  # a paragraph inside the item that ends
                         now = now.parent
             link += tag == "a"
-            now = Element(tag, now, sign_of(tag, match["attrs"] or "", now)) if tag != "body" and tag != "html" else now
+            now = Element(tag, now, sign_of(tag, match["attrs"] or "", now)) if tag not in ("html", "head", "body") else now
     if at < len(page):
         say(page[at:])
     flush()

@@ -287,6 +287,19 @@ def test_main_text_hides_by_attribute_name(attrs, kept):
     assert main_text.main_text(page, [-2.0, 1.0, -3.0, 1.5, 1.0, -1.0]) == "Whole text." * kept
 
 
+@pytest.mark.parametrize("page, text", [
+    ("<html><head><title>T</title><body><article><p>Whole article text.", "Whole article text."),
+    ("<head><meta charset=utf-8><article><p>Whole article text.</article>", "Whole article text."),
+    ("<article><p>a</p><svg class=i /><p>rest</p><math/><p>end</article>", "a rest end"),
+    ("<article><p>a</p><svg class='i'><title>no</title><path d=x /></svg><p>rest</article>", "a rest"),
+    *((f"<div><{tag} class=x></div><article><p>Text.</article>", "Text.") for tag in ("object", "canvas", "noscript", "audio", "video", "template", "select")),
+    ("<article><p>a</p><object><object>no</object>no</object><p>b</p><video>no</video><p>c</article>", "a b c"),
+    ("<article><p>a</p><script>'<p>no</p>'", "a"),
+])
+def test_main_text_of_unclosed_elements(page, text):
+    assert main_text.main_text(page, [-2.0, 1.0, -3.0, 1.5, 1.0, -1.0]) == text
+
+
 def test_main_text_without_named_regions_goes_by_shape():
     body = "".join(f"<p>{prose(i, 40)}.</p>" for i in range(3)) + "<p>Short.</p>" + f"<p>{prose(9, 40)}.</p>"
     page = "<div><div><a href=1>Home</a></div><div><a href=2>News</a></div></div><div>" + body + "</div>"
