@@ -50,9 +50,38 @@ SELECT page_id, octet_length(encode(h))::BIGINT AS payload_bytes, sha1(h) AS pay
 FROM p LEFT JOIN g USING (h)
 """
 
+TOP_PRODUCTS = r"""
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS x FROM embeddings
+           WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.x, c.x)::BIGINT AS score
+      FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id)
+SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score
+FROM s QUALIFY rank <= 5
+"""
+
+COLLOCATIONS = r"""
+WITH p AS (SELECT coalesce(lang, 'und') AS lang, regexp_extract_all(unnest(string_split_regex(
+             translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')), '[^\x20\x09]+') AS w FROM documents),
+f AS (SELECT lang, w[i:i + m - 1] AS words, count(*) AS f
+      FROM (SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM p, (SELECT unnest([1, 2, 3, 4, 5]) AS m) WHERE len(w) >= m) GROUP BY ALL),
+n AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE len(words) = 1 GROUP BY lang),
+c AS (SELECT * FROM f WHERE len(words) > 1 AND f >= 100),
+cuts AS (SELECT c.lang, c.words, c.f AS a, k, x.f AS l, y.f AS r, n, ((1000::HUGEINT * c.f * n) // (x.f::HUGEINT * y.f))::BIGINT AS score
+         FROM (SELECT *, unnest(range(1, len(words))) AS k FROM c) c JOIN n USING (lang)
+         JOIN f x ON x.lang = c.lang AND x.words = c.words[1:k] JOIN f y ON y.lang = c.lang AND y.words = c.words[k + 1:]),
+weakest AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, words ORDER BY score, k) = 1),
+inside AS (SELECT lang, words[i:i + m - 1] AS words, max(f) AS longer
+           FROM (SELECT lang, words, f, m, unnest(range(1, len(words) - m + 2)) AS i FROM c, (SELECT unnest([2, 3, 4]) AS m) WHERE len(words) > m) GROUP BY ALL)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM (SELECT w.*, array_to_string(words, ' ') AS phrase FROM weakest w LEFT JOIN inside USING (lang, words) WHERE longer IS NULL OR 100 * longer < 100 * a)
+QUALIFY rank <= 2000
+"""
+
 ORACLES = {
     "op3_decontamination": DECONTAMINATION,
     "op4_chat": CHAT,
     "op5_substrings": SUBSTRINGS,
     "op9_warc": WARC,
+    "op12_top_products": TOP_PRODUCTS,
+    "op13_collocations": COLLOCATIONS,
 }

@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import hashlib
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import chat, decontaminate, licences, main_text, neighbours, quality, simhash, substrings, tokens, warc
+from . import (
+    alignment, chat, collocations, decontaminate, licences, main_text, neighbours, quality, simhash, substrings, tokens,
+    top_products, warc,
+)
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -79,6 +84,23 @@ def op10_licences(spark, sf):
     )
 
 
+def op11_alignment(spark, sf):
+    def digest(groups: bytes) -> str:
+        return hashlib.sha256(groups).hexdigest() if groups else ""
+
+    vocabularies = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    return alignment.align(table(spark, sf, "documents"), *vocabularies, keep=digest).withColumnRenamed("groups", "groups_sha256")
+
+
+def op12_top_products(spark, sf):
+    vectors = table(spark, sf, "embeddings")
+    return top_products.nearest(vectors, vectors.where("vec_id % 50 = 0"))
+
+
+def op13_collocations(spark, sf):
+    return collocations.collocations(table(spark, sf, "documents"))
+
+
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_quality": op2_quality,
@@ -90,4 +112,7 @@ QUERIES = {
     "op8_neighbours": op8_neighbours,
     "op9_warc": op9_warc,
     "op10_licences": op10_licences,
+    "op11_alignment": op11_alignment,
+    "op12_top_products": op12_top_products,
+    "op13_collocations": op13_collocations,
 }

@@ -1,9 +1,7 @@
-"""What the operators of this subpackage share: folders, Arrow helpers, word rules."""
+"""What the operators of this subpackage share: stored tables, Arrow helpers, word rules."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -11,40 +9,38 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ..session import scratch_dir
+
 ROWS_AT_ONCE = 256
 BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
-
-
-def shared_folder(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``, which all executors reach.
-
-    Only where the setting is absent, as in tests, a local folder takes its place.
-    """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = tempfile.mkdtemp(prefix="factloom-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder.rstrip("/")
+# Parquet looks at a writer's memory every hundred rows at first; rows here may be
+# megabytes, so it looks at each and writes row groups of a bounded size.
+WIDE_ROWS = {
+    "parquet.block.size": str(16 << 20), "parquet.page.size": str(1 << 20),
+    "parquet.block.size.row.check.min": "1", "parquet.block.size.row.check.max": "64",
+    "parquet.page.size.row.check.min": "1", "parquet.page.size.row.check.max": "64",
+}
 
 
 def fresh_path(spark: SparkSession, purpose: str) -> str:
-    return f"{shared_folder(spark)}/{purpose}-{uuid.uuid4().hex}"
+    """A new folder below ``spark.checkpoint.dir``; a cluster without it is an error."""
+    return scratch_dir(spark, purpose)
 
 
 def stored(df: DataFrame, purpose: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: several readers cost
     one computation, and a lost executor takes nothing with it."""
     path = fresh_path(df.sparkSession, purpose)
-    df.write.parquet(path)
+    df.write.options(**WIDE_ROWS).mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def arrow_map(df: DataFrame, function: Callable, schema) -> DataFrame:
     """``mapInArrow`` over short batches, as texts make wide rows; a session that has its
     own batch size keeps it."""
-    conf = df.sparkSession.conf
-    if conf.get(BATCH_ROWS) == "10000":  # Spark's default
-        conf.set(BATCH_ROWS, "1000")
+    spark = df.sparkSession
+    if spark.sql("SET").where(F.col("key") == BATCH_ROWS).isEmpty():
+        spark.conf.set(BATCH_ROWS, "1000")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pa.set_memory_pool(pa.system_memory_pool())  # gives freed batches back to the system

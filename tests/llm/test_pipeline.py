@@ -39,7 +39,7 @@ def test_queries_are_registered():
     import __spark_entry__ as driver
 
     assert {*queries.QUERIES, "pipeline"} <= set(driver.queries()) and set(oracles.ORACLES) <= set(driver.oracle_sql())
-    assert {n.split("_")[0] for n in queries.QUERIES} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in queries.QUERIES} == {f"op{i}" for i in range(1, 14)}
 
 
 @pytest.mark.parametrize("name", sorted(oracles.ORACLES))
