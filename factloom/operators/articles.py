@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions import sections as S, text as X, urls as U
 from ..schemas import ARTICLE_FIELDS
+from .fetch import page_states
 from .pages import with_article_parts
 from .skew import first_page_per_url, join_snapshot, only_pages, wanted_pages
 
@@ -44,15 +45,20 @@ def article_fields(pages: DataFrame, fallback: bool = True) -> DataFrame:
 
 
 def article_records(
-    links: DataFrame, pages: DataFrame, min_rows: int | None = None, fallback: bool = True
+    links: DataFrame, pages: DataFrame, min_rows: int | None = None, fallback: bool = True,
+    attempts: DataFrame | None = None, max_attempts: int | None = None,
 ) -> DataFrame:
     """Every link with the fields of its page; links without a page stay.
 
     Pages are found on narrow columns first; only those behind a link are read.
-    Missing values are null.
+    Missing values are null.  A page that the attempt log never got is not read: its
+    record keeps the address, and the date and category of the link.
     """
     candidates = pages.where(U.is_article_link(F.col("url")))
-    known = wanted_pages(first_page_per_url(candidates), links)
+    found = first_page_per_url(candidates)
+    if attempts is not None:
+        found = page_states(found, attempts, max_attempts).where("state = 'present'").select("url", "page_id")
+    known = wanted_pages(found, links)
     joined = join_snapshot(
         links, known, article_fields(only_pages(candidates, known), fallback),
         ["article_id", "url"], min_rows=min_rows,

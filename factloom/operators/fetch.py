@@ -70,3 +70,24 @@ def page_availability(attempts: DataFrame, max_attempts: int | None = None) -> D
     repeated, so one successful attempt is enough."""
     success = (F.col("outcome") == "http") & (F.col("http_status") < 400) & _in_bound(max_attempts)
     return attempts.groupBy("url").agg(F.coalesce(F.bool_or(success), F.lit(False)).alias("available"))
+
+
+def unavailable(attempts: DataFrame, max_attempts: int | None = None) -> DataFrame:
+    """``url`` of every page that the log tried and never got."""
+    return page_availability(attempts, max_attempts).where(~F.col("available")).select("url")
+
+
+def page_states(known: DataFrame, attempts: DataFrame, max_attempts: int | None = None) -> DataFrame:
+    """(url, page_id, state) of every URL that the snapshot or the log knows.
+
+    ``known`` is unique on ``url``.  A page that the log never got is ``unavailable``, also
+    where the snapshot has one; else it is ``present`` with a snapshot page and ``absent``
+    without one.  Only present pages keep their ``page_id``.
+    """
+    tried = page_availability(attempts, max_attempts)
+    state = (
+        F.when(~F.coalesce("available", F.lit(True)), "unavailable")
+        .when(F.col("page_id").isNotNull(), "present").otherwise("absent")
+    )
+    joined = known.select("url", "page_id").join(tried, "url", "full").withColumn("state", state)
+    return joined.select("url", F.when(F.col("state") == "present", F.col("page_id")).alias("page_id"), "state")

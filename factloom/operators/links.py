@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions import html as H, html_tree, sections as S, urls as U
 from ..session import stored
+from .fetch import unavailable
 from .skew import block_offsets
 
 # Consecutive list pages are processed as one block: enough blocks to spread a
@@ -33,6 +34,14 @@ def in_blocks(df: DataFrame, pages_per_block: int = PAGES_PER_BLOCK) -> DataFram
     return df.withColumn("block", F.floor(F.col("page") / pages_per_block)).repartition("block")
 
 
+def failed_list_pages(attempts: DataFrame, list_url: str, max_attempts: int | None = None) -> DataFrame:
+    """``page`` of every list page that the attempt log never got."""
+    number = F.regexp_extract("url", r"\?page=(\d{1,18})\z", 1).try_cast("bigint")
+    return unavailable(attempts, max_attempts).withColumn("page", number).where(
+        F.col("url") == U.list_page_url(list_url, F.col("page"))
+    ).select("page")
+
+
 def first_per_page(anchors: DataFrame) -> DataFrame:
     """First occurrence of each URL within its list page."""
     copies = Window.partitionBy("block", "page", "url").orderBy("pos")
@@ -42,16 +51,22 @@ def first_per_page(anchors: DataFrame) -> DataFrame:
     )
 
 
-def frontier(links: DataFrame, start_page: int = 1) -> DataFrame:
+def frontier(links: DataFrame, start_page: int = 1, pages_per_block: int = PAGES_PER_BLOCK) -> DataFrame:
     """One row ``stop``: the first page, from the start on, without links.
 
-    Pages that are absent count as pages without links.  The candidates are the
-    start and every page after one with links, so an anti-join finds the gap.
+    Pages that are absent count as pages without links.  One pass: the pages of a block
+    become one bounded array, whose first hole is found there; a block without holes is
+    followed by a hole if the next block is missing.  Only one row per block is ordered.
     """
-    pages = links.where(F.col("page") >= start_page).select("page").distinct()
-    start = links.sparkSession.range(start_page, start_page + 1).toDF("page")
-    after = pages.select((F.col("page") + 1).alias("page")).unionByName(start)
-    return after.join(pages, "page", "left_anti").agg(F.min("page").alias("stop"))
+    size, page = F.lit(pages_per_block), F.col("page").cast("bigint")
+    blocks = links.where(page >= start_page).groupBy(F.floor(page / size).alias("part")).agg(F.collect_set(page).alias("pages"))
+    first, last = F.greatest(F.col("part") * size, F.lit(start_page)), F.col("part") * size + size - 1
+    hole = F.array_min(F.array_except(F.sequence(first, last), "pages"))
+    following = F.lead("part").over(Window.orderBy("part"))
+    after = F.when(following.isNull() | (following != F.col("part") + 1), last + 1)
+    found = blocks.select("part", F.coalesce(hole, after).alias("hole")).agg(F.min("hole").alias("hole"), F.min("part").alias("part"))
+    starts = F.col("part") == start_page // pages_per_block
+    return found.select(F.when(starts, F.col("hole")).otherwise(F.lit(start_page)).cast("bigint").alias("stop"))
 
 
 def before_frontier(links: DataFrame, start_page: int = 1) -> DataFrame:
@@ -89,9 +104,16 @@ def collect_links(
     start_page: int = 1,
     max_pages: int | None = None,
     pages_per_block: int = PAGES_PER_BLOCK,
+    failed: DataFrame | None = None,
 ) -> DataFrame:
-    """Article links in crawl order: (page, pos, url, date, category, article_id)."""
+    """Article links in crawl order: (page, pos, url, date, category, article_id).
+
+    A list page named in ``failed`` gives no links, so it ends the frontier like one that
+    is absent, whatever the snapshot has for it.
+    """
     anchors = page_anchors(in_page_range(list_pages, start_page, max_pages), base_url)
+    if failed is not None:
+        anchors = anchors.join(failed.distinct(), "page", "left_anti")
     links = first_per_page(in_blocks(anchors, pages_per_block))
     # Cut-off, counts and numbering all read the links; the HTML is parsed once.
     links = stored(links, "links")

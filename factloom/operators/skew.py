@@ -98,7 +98,7 @@ def join_snapshot(
     ``extracted`` is wide and unique on ``page_id``.  The URL is resolved to a
     page first, so several snapshot copies of one URL cost no wide work.
     """
-    hot = hot_keys(rows, "url", min_rows=min_rows)
+    hot = stored(hot_keys(rows, "url", min_rows=min_rows), "hot")  # few rows, read by three joins
     hot_pages = (
         fetches.join(F.broadcast(hot), "url")
         .where(F.col("page_id").isNotNull()).select("page_id", "_salts")

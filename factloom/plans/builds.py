@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions.urls import DomainRules
 from ..operators import articles as A, content as C, links as L, quality as Q, resume as R
 from ..operators.sources import explode_sources
+from ..session import stored
 
 
 def build_articles(
@@ -16,10 +17,20 @@ def build_articles(
     start_page: int = 1,
     max_pages: int | None = None,
     min_rows: int | None = None,
+    attempts: DataFrame | None = None,
+    max_attempts: int | None = None,
+    list_url: str | None = None,
 ) -> DataFrame:
-    """List pages and article pages -> article table with ``article_id``."""
-    links = L.collect_links(list_pages, base_url, start_page, max_pages)
-    return A.article_records(links, pages, min_rows)
+    """List pages and article pages -> article table with ``article_id``.
+
+    With an attempt log, pages that it never got count as such even where the snapshot
+    holds them: the first such list page (``list_url`` and ``?page=N``) ends the listing,
+    and such an article has a record of address, date and category only.
+    """
+    failed = None if attempts is None else L.failed_list_pages(attempts, list_url or f"{base_url}/articles", max_attempts)
+    # Numbered once: counts of hot addresses, wanted pages and the join all read this.
+    links = stored(L.collect_links(list_pages, base_url, start_page, max_pages, failed=failed), "numbered")
+    return A.article_records(links, pages, min_rows, attempts=attempts, max_attempts=max_attempts)
 
 
 def build_content(

@@ -247,6 +247,33 @@ def article_table(spark, sf):
     return builds.build_articles(_list_pages(spark, sf), _article_pages(spark, sf), Z.BASE, min_rows=20)
 
 
+def _article_attempts(spark, sf):
+    """Three tries of every list page and article page.  By ``kind``, 0 succeeds at once, 1
+    at the third try, 2 and 3 never; 4 is about a page that the snapshot has not."""
+    rows = table(spark, sf, "pages").select("page_id")
+    page = F.expr(f"page_id div {Z.CARDS_PER_PAGE} + 1")
+    gap = rows.agg(F.expr(f"max(page_id) div {Z.CARDS_PER_PAGE} * 2 div 3 + 1")).scalar()
+    lists = rows.select(U.list_page_url(Z.LIST_URL, page).alias("url"), F.when(page == gap, 2).otherwise(1).alias("kind")).distinct()
+    kind = (F.col("page_id") % 5).cast("int")
+    single = rows.select(F.concat(F.expr(Z.ARTICLE_URL), F.when(kind == 4, "-lain").otherwise("")).alias("url"), kind.alias("kind"))
+    tried = lists.unionByName(single).withColumn("attempt", F.explode(F.sequence(F.lit(1), F.lit(3))))
+    outcome = F.when((F.col("kind") == 2) & (F.col("attempt") == 1), "timeout").when(F.col("kind") == 3, "conn").otherwise("http")
+    got = F.col("kind").isin(0, 4) | ((F.col("kind") == 1) & (F.col("attempt") == 3))
+    return tried.select("url", "attempt", outcome.alias("outcome"), F.when(got, 200).otherwise(503).alias("http_status"))
+
+
+def article_states(spark, sf):
+    """Every address of the snapshot of article pages or of the attempt log."""
+    return fetch.page_states(_article_pages(spark, sf).select("url", "page_id"), _article_attempts(spark, sf), 3)
+
+
+def article_availability(spark, sf):
+    """The article build under an attempt log: a failed list page ends the listing."""
+    return builds.build_articles(
+        _list_pages(spark, sf), _article_pages(spark, sf), Z.BASE, min_rows=20, attempts=_article_attempts(spark, sf),
+        max_attempts=3, list_url=Z.LIST_URL)
+
+
 def article_extras(spark, sf):
     return A.typed_extras(article_table(spark, sf)).select(
         "article_id", "article_key", "pub_date", F.size("refs").alias("n_refs")
@@ -543,7 +570,7 @@ QUERIES = {f.__name__: f for f in (
     page_headings, page_category, page_text, page_title, page_body, archive_body, social_body,
     selector_profile, first_site_link,
     anchor_links, list_frontier, list_progress, article_ids,
-    article_table, article_extras, explode_sources, collapse_sources, article_head,
+    article_table, article_states, article_availability, article_extras, explode_sources, collapse_sources, article_head,
     fetch_status, page_availability, row_status, content_table, entry_counts,
     resume_pending, seed_lookup, spot_check, claim_evidence_pairs, claim_evidence_no_leaks,
     label_counts, ordered_counts, article_summary, article_counts, empty_counts, field_completeness,

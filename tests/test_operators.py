@@ -92,6 +92,64 @@ def test_article_build(spark):
     assert A.head(builds.build_articles(lists, pages, BASE), 2).count() == 2
 
 
+def test_unavailable_pages(spark):
+    """What the log never got is unavailable even where the snapshot holds a page."""
+    lists = list_pages(spark, {p: card(p) + card(p + 10, "01/02/2026") for p in range(1, 5)})
+    pages = spark.createDataFrame([(i, f"{BASE}/articles/{i}-x", ARTICLE) for i in (1, 2, 3, 11, 12, 13)], "page_id long, url string, html string")
+
+    def log(*tries):
+        return spark.createDataFrame([(u if u.startswith("http") else f"{BASE}{u}", a, o, c) for u, a, o, c in tries], "url string, attempt int, outcome string, http_status int")
+
+    failed = log(
+        ("/articles?page=3", 1, "http", 500), ("/articles?page=3", 2, "timeout", None), ("/articles?page=3", 4, "http", 200),
+        ("/articles?page=2", 1, "http", 503), ("/articles?page=2", 2, "http", 200), ("/articles?page=x", 1, "conn", None),
+        ("/articles?page=1&x=2", 1, "conn", None), ("http://other.example/articles?page=1", 1, "conn", None),
+        ("/articles/1-x", 1, "http", 404), ("/articles/12-x", 1, "other", None), ("/articles/12-x", 2, "http", 200), ("/articles/11-x", 1, "http", 399),
+        ("/articles/99-x", 1, "http", 200),
+    )
+    for min_rows in (1, 1000):
+        got = builds.build_articles(lists, pages, BASE, min_rows=min_rows, attempts=failed, max_attempts=3).orderBy("article_id").collect()
+        assert [(r.article_id, r.url[-5:], r.classification, r.date, r.category) for r in got] == [
+            (0, "s/1-x", None, None, None), (1, "/11-x", "SALAH", "01/02/2026", "Politik"),
+            (2, "s/2-x", "SALAH", "17/06/2026", "Politik"), (3, "/12-x", "SALAH", "01/02/2026", "Politik"),
+        ]
+    # Without a bound on attempts the third list page was got; without a log nothing failed.
+    assert builds.build_articles(lists, pages, BASE, attempts=failed).count() == 8
+    assert builds.build_articles(lists, pages, BASE, attempts=log().limit(0)).count() == builds.build_articles(lists, pages, BASE).count() == 8
+    # The failed start page leaves nothing.
+    assert builds.build_articles(lists, pages, BASE, attempts=log(("/articles?page=1", 1, "conn", None))).count() == 0
+    states = fetch.page_states(pages.select("url", "page_id"), failed, 3)
+    assert {r.url[len(BASE):]: (r.page_id, r.state) for r in states.collect() if "/articles/" in r.url} == {
+        "/articles/1-x": (None, "unavailable"), "/articles/2-x": (2, "present"), "/articles/3-x": (3, "present"), "/articles/11-x": (11, "present"),
+        "/articles/12-x": (12, "present"), "/articles/13-x": (13, "present"), "/articles/99-x": (None, "absent"),
+    }
+
+
+def test_article_build_reads_little(spark):
+    """The final plan reads stored narrow tables; nothing is listed or parsed again."""
+    lists = list_pages(spark, {1: card(1)})
+    pages = spark.createDataFrame([(1, f"{BASE}/articles/1-x", ARTICLE)], "page_id long, url string, html string")
+    plan = builds.build_articles(lists, pages, BASE)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("parquet") <= 12
+    physical = builds.build_articles(lists, pages, BASE)._jdf.queryExecution().executedPlan().toString()
+    assert physical.count("SinglePartition") <= 3 and physical.count("FileScan") <= 12
+
+
+def test_frontier_at_block_edges(spark):
+    import random
+
+    rng = random.Random(8)
+    for trial in range(12):
+        start = rng.choice([0, 1, 3, 4, 7])
+        have = {p for p in range(0, 40) if rng.random() < rng.choice([0.5, 0.9, 1.0])} | set(range(start, start + rng.randrange(12)))
+        links = spark.createDataFrame([(p,) for p in sorted(have)] * 2, "page int")
+        want = next(p for p in range(start, 99) if p not in have)
+        assert [r.stop for r in L.frontier(links, start, pages_per_block=4).collect()] == [want], (start, have)
+    assert L.frontier(spark.createDataFrame([], "page long"), 5).first().stop == 5
+    parsed = L.frontier(L.first_per_page(L.in_blocks(L.page_anchors(list_pages(spark, {1: card(1)}), BASE))), 1)
+    assert parsed._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+
+
 def test_explode_sources(spark):
     rows = spark.createDataFrame([
         (0, " https://a ", "https://b | | https://c"), (1, None, None), (2, "", " | "), (3, "https://d", ""),
