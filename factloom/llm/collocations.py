@@ -32,14 +32,14 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
-from .shared import arrow_map, slices, stored, utf8
+from .shared import arrow_map, from_planes, planes, slices, stored, utf8
 
 LONGEST = 5
 FACTOR = 1000
 LEAST = 100  # occurrences of a phrase
 SHARE = 100  # a phrase goes if a longer one has so many percent of its count
 TOP = 2000
-WAVE, GROWTH = 4000, 8  # words of the first wave, and by how much later ones grow
+WAVE, GROWTH = 32_000, 8  # words of the first wave, and by how much later ones grow
 PART_WORDS = 1 << 20
 TEXT_BYTES = 1 << 20
 
@@ -95,7 +95,7 @@ def parts(docs: DataFrame, text: str, lang: str) -> DataFrame:
             ids, number = np.concatenate(ids), number + 1
             counts = np.bincount(ids[ids >= 0], minlength=len(words) - 1)
             sizes.pop(name)
-            values = [number - 1, name, int(counts.sum()), None, counts, ids.astype("<i4").tobytes()]
+            values = [number - 1, name, int(counts.sum()), None, counts, planes(ids)]
             columns = [pa.array([v], f.type) for v, f in zip(values, PART)]
             names = pa.array(list(words)[1:], pa.binary()).cast(pa.string())
             columns[3] = pa.ListArray.from_arrays(pa.array([0, len(names)], pa.int32()), names)
@@ -117,13 +117,13 @@ def parts(docs: DataFrame, text: str, lang: str) -> DataFrame:
     return arrow_map(docs.select(F.coalesce(docs[lang].cast("string"), F.lit("und")), docs[text].cast("string")), work, PART_TYPE)
 
 
-def told(part: int, ids: np.ndarray, gids: np.ndarray, taken: np.ndarray, alive: np.ndarray, names: np.ndarray, length: int) -> pa.Table:
-    """State of a part with the phrases of ``length + 1`` words that may be frequent.
+def grown(ids: np.ndarray, taken: np.ndarray, alive: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
+    """Phrases of ``length + 1`` words that may be frequent: where each starts, its number
+    among the distinct ones, and of these: what it grows from, the word, the count.
 
     ``alive`` holds, per place, the number of the frequent phrase of ``length`` words that
-    starts there, or -1; ``names`` are these phrases' ids.  A phrase is named by what it
-    grows from: the phrase without its last word if its first word is taken, else the one
-    without its first word.
+    starts there, or -1.  A phrase grows from the phrase without its last word if its first
+    word is taken, else from the one without its first word, marked in the lowest bit.
     """
     first, last = ids[:-length], ids[length:]
     here, after = alive[: len(first)], alive[1:len(first) + 1]
@@ -133,17 +133,23 @@ def told(part: int, ids: np.ndarray, gids: np.ndarray, taken: np.ndarray, alive:
     side = ~forward[at]
     parent, word = np.where(side, after[at], here[at]).astype(np.int64), np.where(side, first[at], last[at]).astype(np.int64)
     keys, slots, counts = np.unique((parent * 2 + side) << 31 | word, return_inverse=True, return_counts=True)
-    parent, word = keys >> 31, keys & (1 << 31) - 1
+    return at, slots.ravel(), keys >> 31, keys & (1 << 31) - 1, counts
+
+
+def state_row(part: int, ids: np.ndarray, gids: np.ndarray, taken: np.ndarray, alive: np.ndarray, names: np.ndarray, length: int) -> pa.Table:
+    """A part with its phrases of ``length + 1`` words; ``names`` are the ids of those of
+    ``length`` words.  Places of two-word phrases, the many, are found again when needed."""
+    at, slots, parent, word, counts = grown(ids, taken, alive, length)
     # Words that no such phrase holds or could grow by become breaks, one for many.
     near = np.zeros(len(ids) + 1, np.int64)
     np.add.at(near, np.maximum(at - 1, 0), 1)
     np.add.at(near, np.minimum(at + length + 2, len(ids)), -1)
     near = np.cumsum(near[:-1]) > 0
     stays = near | np.append(True, near[:-1])
+    at = np.diff((np.cumsum(stays) - 1)[at], prepend=0)
     values = [
-        part, np.where(near, ids, -1)[stays].astype("<i4").tobytes(), gids, taken[:-1].tobytes(),
-        (np.cumsum(stays) - 1)[at].astype("<i4").tobytes(), slots.ravel().astype("<i4").tobytes(),
-        names[parent >> 1] * 2 + (parent & 1), gids[word], counts,
+        part, planes(np.where(near, ids, -1)[stays]), gids, taken[:-1].tobytes(), planes(at) if length > 1 else None,
+        planes(slots) if length > 1 else None, names[parent >> 1] * 2 + (parent & 1), gids[word], counts,
     ]
     return pa.Table.from_arrays([pa.array([v], f.type) for v, f in zip(values, STATE)], schema=STATE)
 
@@ -152,13 +158,14 @@ def begin(left: pa.Table, right: pa.Table) -> pa.Table:
     """A part and its frequent words -> phrases of two words."""
     if not left.num_rows or not right.num_rows:
         return STATE.empty_table()
-    raw = np.frombuffer(left.column("ids")[0].as_py(), "<i4")
+    raw = from_planes(left.column("ids")[0].as_py())
     place, gids = right.column("place").to_numpy(), right.column("gid").to_numpy()
+    order = np.argsort(gids)  # phrases come in this order, so their ids repeat and pack well
     frequent = np.full(max(int(raw.max(initial=0)), int(place.max())) + 2, -1, np.int32)
-    frequent[place] = np.arange(len(place), dtype=np.int32)
+    frequent[place[order]] = np.arange(len(place), dtype=np.int32)
     ids = frequent[raw]  # the last entry answers for -1
-    taken = np.append(right.column("taken").to_numpy(zero_copy_only=False), False)
-    return told(left.column("part")[0].as_py(), ids, gids, taken, ids, gids, 1)
+    taken = np.append(right.column("taken").to_numpy(zero_copy_only=False)[order], False)
+    return state_row(left.column("part")[0].as_py(), ids, gids[order], taken, np.append(ids, -1), gids[order], 1)
 
 
 def go_on(length: int):
@@ -167,18 +174,28 @@ def go_on(length: int):
         if not left.num_rows or not right.num_rows:
             return STATE.empty_table()
         one = {n: left.column(n)[0] for n in ("part", "ids", "gids", "taken", "at", "slots", "size")}
-        ids, at, slots = (np.frombuffer(one[n].as_py(), "<i4") for n in ("ids", "at", "slots"))
+        ids, taken = from_planes(one["ids"].as_py()), np.append(np.frombuffer(one["taken"].as_py(), bool), False)
+        if length == 2:
+            at, slots = grown(ids, taken, np.append(ids, -1), 1)[:2]
+        else:
+            at, slots = np.cumsum(from_planes(one["at"].as_py())), from_planes(one["slots"].as_py())
         place, names = right.column("place").to_numpy(), right.column("gid").to_numpy()
         frequent = np.full(one["size"].as_py(), -1, np.int32)
         frequent[place] = np.arange(len(place), dtype=np.int32)
         alive = np.full(len(ids) + 1, -1, np.int32)
         alive[at] = frequent[slots]
-        taken = np.append(np.frombuffer(one["taken"].as_py(), bool), False)
-        return told(one["part"].as_py(), ids, one["gids"].values.to_numpy(), taken, alive, names, length)
+        return state_row(one["part"].as_py(), ids, one["gids"].values.to_numpy(), taken, alive, names, length)
 
     return work
 
 
+def with_total(seen: DataFrame, least: int, *key: str) -> DataFrame:
+    """Rows of parts whose ``counts`` add up to ``least`` or more for their key, with the
+    sum ``f``.  A key has a row per part at most, and all meet in one shuffle."""
+    total = F.sum("counts").over(Window.partitionBy(*key))
+    return seen.withColumn("f", total).where(F.col("f") >= least).drop("counts")
+
+
 def frequent_phrases(found: DataFrame, vocabulary: DataFrame, words: DataFrame, limits: DataFrame, least: int) -> DataFrame:
     """``lang``, ``words``, ``f``, ``first_f``, ``last_f`` of all frequent phrases with an
     end of at most ``limit`` occurrences, single words included."""
@@ -193,8 +210,8 @@ def frequent_phrases(found: DataFrame, vocabulary: DataFrame, words: DataFrame,
     word = words.select(F.col("gid").alias("right"), "word", F.col("f").alias("word_f"))
     for length in range(2, LONGEST + 1):
         seen = state.select("part", F.posexplode(F.arrays_zip("left", "right", "counts")).alias("place", "p")).select("part", "place", "p.*")
-        counted = seen.groupBy("left", "right").agg(F.sum("counts").alias("f")).where(F.col("f") >= least)
-        level = stored(counted.withColumn("gid", F.monotonically_increasing_id()), f"level-{length}")
+        hits = stored(with_total(seen, least, "left", "right"), f"hits-{length}")
+        level = stored(hits.select("left", "right", "f").distinct().withColumn("gid", F.monotonically_increasing_id()), f"level-{length}")
         back = F.col("left").bitwiseAND(F.lit(1)) == 1
         grown = level.withColumnRenamed("f", "own_f").withColumnRenamed("gid", "own").withColumn("gid", F.shiftright("left", 1)).join(levels[-1], "gid").join(word, "right")
         levels.append(grown.select(
@@ -204,7 +221,7 @@ def frequent_phrases(found: DataFrame, vocabulary: DataFrame, words: DataFrame,
             F.when(back, F.col("last_f")).otherwise(F.col("word_f")).alias("last_f"),
         ))
         if length < LONGEST:
-            hits = seen.join(level.select("left", "right", "gid"), ["left", "right"]).select(F.col("part").alias("of_part"), "place", "gid")
+            hits = hits.join(level.select("left", "right", "gid"), ["left", "right"]).select(F.col("part").alias("of_part"), "place", "gid")
             bare = state.select("part", "ids", "gids", "taken", "at", "slots", F.size("counts").alias("size"))
             state = stored(bare.groupBy("part").cogroup(hits.groupBy("of_part")).applyInArrow(go_on(length), STATE_TYPE), f"phrases-{length + 1}")
     every = levels[0]
@@ -244,9 +261,9 @@ def collocations(docs: DataFrame, text: str = "text", lang: str = "lang", least:
     (its count), ``l`` and ``r`` (of the parts at its weakest cut), ``n`` and ``score``."""
     found = stored(parts(docs, text, lang), "word-parts")
     listed = found.select("part", "lang", F.posexplode(F.arrays_zip("words", "counts")).alias("place", "p")).select("part", "lang", "place", F.col("p.words").alias("word"), "p.counts")
-    counted = listed.groupBy("lang", "word").agg(F.sum("counts").alias("f")).where(F.col("f") >= least)
-    words = stored(counted.withColumn("gid", F.monotonically_increasing_id()), "words")
-    vocabulary = stored(listed.join(words, ["lang", "word"]).select("part", "place", "gid", "f"), "vocabulary")
+    vocabulary = stored(with_total(listed, least, "lang", "word"), "vocabulary")
+    words = stored(vocabulary.select("lang", "word", "f").distinct().withColumn("gid", F.monotonically_increasing_id()), "words")
+    vocabulary = stored(vocabulary.join(words.select("lang", "word", "gid"), ["lang", "word"]).select("part", "place", "gid", "f"), "vocabulary")
     sizes = found.groupBy("lang").agg(F.sum("n_words").alias("n"))
     # Words by eighths of a power of two of their count: how many a limit takes.
     steps = words.groupBy("lang", F.floor(F.log2("f") * 8).alias("step")).agg(F.count("*").alias("words"), F.max("f").alias("high"))
