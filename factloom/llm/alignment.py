@@ -21,6 +21,7 @@ time at least, so a task's memory follows the longest text.
 from __future__ import annotations
 
 import functools
+import itertools
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -160,7 +161,7 @@ def align_texts(texts: list[str | None], words: Vocabularies, keep: Callable[[by
     document's last tokens meet, so no group and no link crosses documents."""
     a_lists, b_lists = words.encode([t or "" for t in texts])
     n_a, n_b = (np.fromiter(map(len, x), np.int64, len(x)) for x in (a_lists, b_lists))
-    a, b = (np.fromiter((i for ids in x for i in ids), np.int64) for x in (a_lists, b_lists))
+    a, b = (np.fromiter(itertools.chain.from_iterable(x), np.int64, int(n.sum())) for x, n in ((a_lists, n_a), (b_lists, n_b)))
     one, other, a_meets, b_meets = overlaps(np.cumsum(words.a_sizes[a]), np.cumsum(words.b_sizes[b]))
     doc_of = np.repeat(np.arange(len(texts)), n_a)
     pairs = a[one] << B_BITS | b[other]
