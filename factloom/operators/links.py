@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from ..functions import html as H, html_tree, sections as S, urls as U
+from ..functions import html as H, html_outline, html_tree, sections as S, urls as U
 from ..session import stored
 from .fetch import unavailable
 from .skew import block_offsets
@@ -19,11 +19,24 @@ def in_page_range(list_pages: DataFrame, start_page: int = 1, max_pages: int | N
     return kept.where(F.col("page") < start_page + max_pages) if max_pages else kept
 
 
-def page_anchors(list_pages: DataFrame, base_url: str) -> DataFrame:
-    """(page, pos, url, date) of every article link, duplicates included."""
-    read = html_tree.dated_anchors(H.HIDDEN_TAGS, S.DATE_PATTERN.replace(r"\p{Nd}", r"\d"))(F.col("html"))
+def page_anchors(list_pages: DataFrame, base_url: str, fallback: bool = True) -> DataFrame:
+    """(page, pos, url, date) of every article link, duplicates included.
+
+    Anchors and the text of their parents come from the page's tags; only pages that these
+    do not settle go to the tree reader.  ``fallback=False`` keeps the plan free of Python.
+    """
+    page = list_pages.select("page", "html").withColumn("_page", H.visible(F.col("html")))
+    page = page.withColumn("_parts", html_outline.tokens(F.col("_page")))
+    hard = F.coalesce(html_outline.is_hard(F.col("html"), F.col("_page"), F.col("_parts")), F.lit(False)) if fallback else F.lit(False)
+    page = page.withColumn("_hard", hard).withColumn("_found", F.when(~F.col("_hard"), html_outline.outline(F.col("_parts"))))
+    page = page.withColumn("_dates", html_outline.parent_dates(F.col("_parts"), F.col("_found"), S.DATE_PATTERN))
+    native = html_outline.dated_anchors(F.col("_parts"), F.col("_found"), F.col("_dates"))
+    read = page.select("page", F.when(F.col("_hard"), F.col("html")).alias("_html"), "_hard", F.when(~F.col("_hard"), native).alias("_native"))
+    if fallback:
+        tree = html_tree.dated_anchors(H.HIDDEN_TAGS, S.DATE_PATTERN.replace(r"\p{Nd}", r"\d"))(F.col("_html"))
+        read = read.withColumn("_native", F.when(F.col("_hard"), tree).otherwise(F.col("_native")))
     # The outer form keeps the planner from adding a size test, which would read pages twice.
-    anchors = list_pages.select("page", F.posexplode_outer(read).alias("pos", "anchor"))
+    anchors = read.select("page", F.posexplode_outer("_native").alias("pos", "anchor"))
     return anchors.where(U.is_article_link(F.col("anchor.href"))).select(
         "page", "pos", U.absolute_url(F.col("anchor.href"), base_url).alias("url"), "anchor.date"
     )
