@@ -97,6 +97,11 @@ def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return arrow_map(pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y"), work, "a long, b long")
 
 
+def near_in_size(a, b):
+    """Sets of sizes further apart than the limit cannot be similar."""
+    return F.least(a, b) >= LIMIT * F.greatest(a, b)
+
+
 def similar_links(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Links ``a``, ``b`` between values of ``key`` that connect what all similar pairs
     connect.  Rows without a key make no links."""
@@ -107,12 +112,13 @@ def similar_links(docs: DataFrame, key: str = "doc_id", text: str = "text") -> D
     # One row of a node is enough; rows that share an id and not their text are nodes of one name.
     first = signed.join(nodes.select("code", F.col("node").alias("id")), ["code", "id"]).select(F.col("id").alias("node"), "code", "size", "bands")
     members = first.dropDuplicates(["node", "code"]).select("node", "size", F.explode("bands").alias("band"))
-    buckets = members.groupBy("band").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high").select("band", "low")
+    buckets = members.groupBy("band").agg(F.min(F.struct("node", "size")).alias("low"), F.max("node").alias("high")).where("low.node < high").select("band", "low")
     members = stored(members.join(buckets, "band"), "buckets")
     wanted = members.select("node").distinct()
     texts = stored(rows.select(F.col(key).cast("long").alias("node"), F.col(text).cast("string").alias("text")).join(wanted, "node", "left_semi").distinct(), "texts")
 
-    stars = members.where("low < node").select(F.col("low").alias("a"), F.col("node").alias("b")).distinct()
+    stars = members.where((F.col("low.node") < F.col("node")) & near_in_size(F.col("size"), F.col("low.size")))
+    stars = stars.select(F.col("low.node").alias("a"), F.col("node").alias("b")).distinct()
     links = stored(confirmed(stars, texts).distinct(), "links")
     # What is left: pairs of one bucket that lie in different components.
     groups = components(links)
@@ -122,7 +128,7 @@ def similar_links(docs: DataFrame, key: str = "doc_id", text: str = "text") -> D
     left, right = placed.where("component > least").alias("x"), placed.alias("y")
     rest = left.join(right, F.col("x.band") == F.col("y.band")).where(
         (F.col("y.component") < F.col("x.component"))
-        & (F.least("x.size", "y.size") >= LIMIT * F.greatest("x.size", "y.size"))
+        & near_in_size(F.col("x.size"), F.col("y.size"))
     ).select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
     rest = rest.join(stars, ["a", "b"], "left_anti")
     return links.unionByName(confirmed(rest, texts)).unionByName(equal)
