@@ -78,10 +78,12 @@ def search_from(low: np.ndarray, values: np.ndarray, ends: np.ndarray) -> np.nda
 
 def gallop(short: np.ndarray, long: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """For each end of the shorter list, the number of smaller ends in the longer one, and
-    whether the longer one has it too.  Both ascend; every ``STRIDE``-th end is an anchor
-    from whose place those after it start."""
-    anchors = search_from(np.zeros(-(-len(short) // STRIDE), np.int64), short[::STRIDE], long)
-    rank = search_from(np.repeat(anchors, STRIDE)[: len(short)], short, long)
+    whether the longer one has it too.  Both ascend; anchors, every ``STRIDE``-th end of
+    those found after them, are placed first, and each end starts from its anchor's place."""
+    rank = np.zeros(-(-len(short) // STRIDE**3), np.int64)
+    for stride in (STRIDE**2, STRIDE, 1):
+        some = short[::stride]
+        rank = search_from(np.repeat(rank, STRIDE)[: len(some)], some, long)
     return rank, long[np.minimum(rank, len(long) - 1)] == short if len(long) else np.zeros(len(short), bool)
 
 
