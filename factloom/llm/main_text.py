@@ -3,20 +3,25 @@
 A page becomes blocks of text in page order.  A classifier gives each block a cost for
 being called content and one for being called boilerplate: a logistic model of its shape
 (words, links, sentence ends, element), fitted on pages whose markup names their regions,
-and the innermost element that names a region.  The costs are the capacities of terminal
-edges; blocks next to each other and blocks of one parent get smoothness edges, weaker
-across regions.  The minimum cut, found as maximum flow, separates content from the rest.
+and the innermost element that names a region.  A name is evidence of about the weight of
+the shape, so neighbours and shape may outvote it; only what the page hides is out for
+certain.  The costs are the capacities of terminal edges; blocks next to each other and
+blocks of one parent get smoothness edges, weaker across regions.  The minimum cut, found
+as maximum flow by levels, separates content from the rest.  A block whose costs are equal
+and that no edge ties to content is boilerplate.
 
 One narrow pass over whole pages.  The model is fitted in one task on a bounded sample,
 the ``sample`` pages with the smallest hash of their id; without usable samples its weights
-are zero.  Null or empty html gives an empty text; repeated rows are read each.
+are zero.  Null or empty html gives an empty text; repeated rows are read each.  Only
+``page_id``, ``url`` and ``html`` are read, whatever other columns there are.  A page's work
+grows with its length and, for blocks that names do not settle, with the rounds of the flow.
 """
 
 from __future__ import annotations
 
 import html
+import itertools
 import re
-from collections import deque
 from collections.abc import Iterator
 
 import numpy as np
@@ -51,6 +56,10 @@ BAD_WORDS = frozenset(
     "contentinfo complementary".split()
 )
 GOOD_WORDS = frozenset("article articlebody content main post entry story".split())
+# Class names such as has-sidebar, no-comments, category-social or comments-open tell of the
+# layout or the topic: what follows the first kind of word, and what the second kind ends, is no name.
+LAYOUT_WORDS = frozenset("no not has with without is layout category tag".split())
+STATE_WORDS = frozenset("open closed enabled disabled off".split())
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
@@ -67,7 +76,7 @@ ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s
 UNSEEN = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*hidden)\s*(?=[;!]|$)", re.IGNORECASE)
 CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
-NAMED, SHAPE_LIMIT = 8.0, 3.0
+NAMED, SHAPE_LIMIT, UNSEEN_COST = 3.5, 3.0, 100.0
 NEXT, SIBLING, ACROSS = 0.6, 0.6, 0.15
 
 
@@ -92,25 +101,39 @@ class Element:
             self.region, self.sign = (parent.region, parent.sign) if parent else (None, 0)
 
 
+def names_of(value: str) -> set[str]:
+    """Words of a class, id or role value that may name a region."""
+    found: set[str] = set()
+    for name in value.split():
+        words = [w for w in re.split("[^a-z]+", CAMEL.sub(" ", name).lower()) if w]
+        if words and words[-1] not in STATE_WORDS:
+            found.update(itertools.takewhile(lambda w: w not in LAYOUT_WORDS, words))
+    return found
+
+
 def sign_of(tag: str, attrs: str, above: Element) -> int:
-    """1 or -1 where the element itself names a region of content or of boilerplate."""
+    """1 or -1 where the element itself names a region of content or of boilerplate, -2
+    where it is hidden.  ``main`` is content whatever its classes, an outermost ``article`` too."""
+    if above.sign == -2:
+        return -2
     sign = -1 if tag in BAD_TAGS or tag == "header" and above.sign <= 0 else 1 if tag in GOOD_TAGS else 0
-    if attrs:
-        words: set[str] = set()
-        for match in ATTRIBUTE.finditer(attrs):
-            name, value = match[1].lower(), match[2] or match[3] or match[4] or ""
-            if name in ("class", "id", "role"):
-                words.update(re.split("[^a-z]+", CAMEL.sub(" ", value).lower()))
-            elif (
-                name == "hidden" and value.strip().lower() != "until-found"
-                or name == "aria-hidden" and value.strip().lower() == "true"
-                or name == "style" and UNSEEN.search(html.unescape(value))
-            ):
-                return -1
-        if words & BAD_WORDS or words & {"header", "heading"} and "header" in words and above.sign <= 0 and tag != "body":
-            return -1
-        if words & GOOD_WORDS and sign == 0 and tag != "body":
-            return 1
+    words: set[str] = set()
+    for match in ATTRIBUTE.finditer(attrs):
+        name, value = match[1].lower(), match[2] or match[3] or match[4] or ""
+        if name in ("class", "id", "role"):
+            words |= names_of(value)
+        elif (
+            name == "hidden" and value.strip().lower() != "until-found"
+            or name == "aria-hidden" and value.strip().lower() == "true"
+            or name == "style" and UNSEEN.search(html.unescape(value))
+        ):
+            return -2
+    if tag == "main" or tag == "article" and (above.sign == 0 or words & GOOD_WORDS - {"article"}):
+        return sign
+    if words & BAD_WORDS or "header" in words and above.sign <= 0 and tag != "body":
+        return -1
+    if words & GOOD_WORDS and sign == 0 and tag != "body":
+        return 1
     return sign
 
 
@@ -187,7 +210,7 @@ def shape(block: Block) -> tuple[float, ...]:
 
 def fit(pages: pd.DataFrame) -> pd.DataFrame:
     """Logistic weights of the shape, from blocks whose region is named; Newton steps with a ridge."""
-    blocks = [b for page in pages["html"] for b in blocks_of(page or "") if b.sign]
+    blocks = [b for page in pages["html"] for b in blocks_of(page or "") if b.sign in (1, -1)]
     weights = np.zeros(6)
     if {b.sign for b in blocks} == {1, -1}:
         x, y = np.array([shape(b) for b in blocks]), np.array([b.sign > 0 for b in blocks], float)
@@ -199,36 +222,55 @@ def fit(pages: pd.DataFrame) -> pd.DataFrame:
 
 
 def min_cut(odds: list[float], edges: list[tuple[int, int, float]]) -> list[bool]:
-    """Which nodes stay on the source's side; ``odds`` are terminal capacities, by sign."""
-    n = len(odds)
+    """Which nodes stay on the source's side; ``odds`` are terminal capacities, by sign.
+
+    Maximum flow in rounds: levels from all nodes with room from the source, then paths
+    that climb them, each edge tried once a round."""
+    n, least = len(odds), 1e-9
     rest = list(odds)  # above zero: room from the source; below: room to the sink
     room: list[dict[int, float]] = [{} for _ in range(n)]
     for a, b, weight in edges:
         room[a][b] = room[a].get(b, 0.0) + weight
         room[b][a] = room[b].get(a, 0.0) + weight
+    ways = [list(r) for r in room]
     while True:
-        came: dict[int, int] = {i: -1 for i in range(n) if rest[i] > 1e-9}
-        line, end = deque(came), -1
-        while line and end < 0:
-            a = line.popleft()
-            for b, left in room[a].items():
-                if left > 1e-9 and b not in came:
-                    came[b] = a
-                    if rest[b] < -1e-9:
-                        end = b
-                        break
+        sources = [i for i in range(n) if rest[i] > least]
+        level, line, met = [-1] * n, list(sources), False
+        for a in sources:
+            level[a] = 0
+        for a in line:
+            if rest[a] < -least:
+                met = True
+                continue
+            for b in ways[a]:
+                if level[b] < 0 and room[a][b] > least:
+                    level[b] = level[a] + 1
                     line.append(b)
-        if end < 0:
-            return [i in came for i in range(n)]
-        path = [end]
-        while came[path[-1]] >= 0:
-            path.append(came[path[-1]])
-        flow = min(rest[path[-1]], -rest[end], *(room[a][b] for b, a in zip(path, path[1:])))
-        for b, a in zip(path, path[1:]):
-            room[a][b] -= flow
-            room[b][a] = room[b].get(a, 0.0) + flow
-        rest[path[-1]] -= flow
-        rest[end] += flow
+        if not met:
+            return [x >= 0 for x in level]
+        tried = [0] * n
+        for start in sources:
+            path = [start]
+            while path:
+                a = path[-1]
+                if rest[a] < -least:
+                    flow = min(rest[start], -rest[a], *(room[x][y] for x, y in zip(path, path[1:])))
+                    for x, y in zip(path, path[1:]):
+                        room[x][y] -= flow
+                        room[y][x] += flow
+                    rest[start] -= flow
+                    rest[a] += flow
+                    path = [start] if rest[start] > least else []
+                elif tried[a] < len(ways[a]):
+                    b = ways[a][tried[a]]
+                    if level[b] == level[a] + 1 and room[a][b] > least:
+                        path.append(b)
+                    else:
+                        tried[a] += 1
+                else:
+                    path.pop()
+                    if path:
+                        tried[path[-1]] += 1
 
 
 def content(blocks: list[Block], weights: list[float]) -> list[bool]:
@@ -236,7 +278,8 @@ def content(blocks: list[Block], weights: list[float]) -> list[bool]:
     last: dict[int, int] = {}
     for i, block in enumerate(blocks):
         own = sum(w * x for w, x in zip(weights, shape(block)))
-        odds.append(max(-SHAPE_LIMIT, min(SHAPE_LIMIT, own)) + NAMED * block.sign)
+        named = -UNSEEN_COST if block.sign == -2 else NAMED * block.sign
+        odds.append(max(-SHAPE_LIMIT, min(SHAPE_LIMIT, own)) + named)
         if i:
             edges.append((i - 1, i, NEXT if blocks[i - 1].region is block.region else ACROSS))
         before = last.get(id(block.parent))

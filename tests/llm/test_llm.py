@@ -6,6 +6,7 @@ import hashlib
 import json
 import random
 import re
+import time
 import struct
 
 import numpy as np
@@ -307,6 +308,44 @@ def test_main_text_without_named_regions_goes_by_shape():
     assert "Short." in text and "Home" not in text  # the short one is kept by its neighbours
 
 
+@pytest.mark.parametrize("opening, kept", [
+    ("<article class='entry no-sidebar'>", True), ("<main class='content has-sidebar'>", True),
+    ("<article class='post category-social comments-open'>", True), ("<main id='content-with-header'>", True),
+    ("<article class='post with-form'>", True), ("<div class='entry tag-notices without-comments'>", True),
+    ("<main><article class='comment-body'>", False), ("<article><article class='reply'>", False),
+    ("<div class='comments has-content'>", False), ("<div class='related-posts'>", False), ("<article hidden class='post'>", False),
+    ("<div hidden><article class='post'>", False),
+])
+def test_layout_and_state_classes_name_no_region(opening, kept):
+    page = f"<body><nav><a href=1>Home</a></nav>{opening}<p>The whole text of it stands here.</p>"
+    assert main_text.main_text(page, [-2.0, 1.0, -3.0, 1.5, 1.0, -1.0]) == "The whole text of it stands here." * kept
+
+
+def test_the_cut_finds_the_article_of_unnamed_pages():
+    """Pages of plain divisions: the shape alone drops short paragraphs, the cut does not."""
+    weights, rng, changed = [-3.0, 1.2, -4.0, 1.0, 1.0, -1.0], random.Random(11), 0
+    for k in range(40):
+        body = [prose(100 * k + i, n) + "." * (n > 2) for i, n in enumerate(rng.choices([2, 30, 45], k=rng.randint(5, 9)))]
+        body[0], body[-1] = prose(k, 40) + ".", prose(k + 50, 40) + "."
+        menu = "".join(f"<div><a href=/{i}>{prose(i, 2)}</a></div>" for i in range(6))
+        page = f"<div>{menu}</div><div>{''.join(f'<p>{b}</p>' for b in body)}</div><div>{menu}</div>"
+        blocks = main_text.blocks_of(page)
+        alone = [sum(w * x for w, x in zip(weights, main_text.shape(b))) > 0 for b in blocks]
+        changed += main_text.content(blocks, weights) != alone
+        assert main_text.main_text(page, weights) == " ".join(body)
+    assert changed > 10
+
+
+def test_very_long_pages_are_cut_in_time():
+    rng = random.Random(3)
+    words = [rng.choice([1, 2, 3, 5, 9, 14, 30]) for _ in range(16_000)]
+    page = "<div>" + "".join(f"<p>{'w ' * n}{rng.choice(['', '.'])}</p>" + "</div><div>" * (rng.random() < 0.1) for n in words) + "</div>"
+    blocks = main_text.blocks_of(page)
+    start = time.process_time()
+    kept = main_text.content(blocks, [-3.0, 1.2, -4.0, 1.0, 1.0, -1.0])
+    assert time.process_time() - start < 2 and 0 < sum(kept) < len(kept) == 16_000
+
+
 def test_min_cut_equals_enumeration():
     rng = random.Random(2)
     for _ in range(200):
