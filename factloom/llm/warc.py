@@ -33,6 +33,7 @@ REVISIT_BYTES = 1000
 ARCHIVE_BYTES = 256 << 20
 GAP = 64 << 10  # bytes between two ranges that are read along
 SPAN = 8 << 20  # bytes of a joined range
+TASK_BYTES = 4 << 20  # compressed bytes that a task reads back, about
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 ID = "urn:page:"
 INDEX = "page_id long, url string, digest string, record_type string, file string, offset long, length long"
@@ -159,8 +160,10 @@ def read_records(spark: SparkSession, folder: str, selected: DataFrame) -> DataF
         if source:
             source.close()
 
-    ordered = selected.select("file", "offset", "length").repartition("file", F.floor(F.col("offset") / SPAN)).sortWithinPartitions("file", "offset")
-    return arrow_map(ordered, work, READ)
+    # Index rows are tiny and what they name is not: tasks follow the bytes to be read.
+    total = selected.agg(F.coalesce(F.sum("length"), F.lit(0)).alias("bytes")).first().bytes
+    ranges = selected.select("file", "offset", "length").repartition(total // TASK_BYTES + 1, "file", F.floor(F.col("offset") / SPAN))
+    return arrow_map(ranges.sortWithinPartitions("file", "offset"), work, READ)
 
 
 def records(members: list[bytes]) -> pa.RecordBatch:
