@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from ..functions import html as H, html_outline, html_tree, sections as S, urls as U
 from ..session import stored
 from .fetch import unavailable
-from .skew import block_offsets
+from .skew import block_offsets, spread_lookup
 
 # Consecutive list pages are processed as one block: enough blocks to spread a
 # long listing, few enough that one row per block is a small table.
@@ -111,6 +111,27 @@ def numbered(links: DataFrame) -> DataFrame:
     )
 
 
+def renumbered(links: DataFrame, old: DataFrame, pages_per_block: int = PAGES_PER_BLOCK) -> DataFrame:
+    """Links of a repeated crawl with ``article_id``: known articles keep the number that
+    ``old`` (``url``, ``article_id``) has for them, new ones follow its highest.
+
+    Articles are told apart by the number in their address, else by the address, so a changed
+    title is no new article.  A newest-first listing puts new articles above the known ones;
+    they are numbered from the overlap upwards, oldest first, so crawls in between would have
+    given the same numbers.  An article that is listed more than once counts where it is first.
+    """
+    key = F.coalesce(U.article_number(F.col("url")).cast("string"), F.col("url"), F.lit("")).alias("_key")
+    known = old.select(key, "article_id").groupBy("_key").agg(F.min("article_id").alias("article_id"))
+    links = links.drop("article_id").withColumn("_key", key)
+    places = links.groupBy("_key").agg(F.min(F.struct("page", "pos")).alias("place")).select("_key", "place.*")
+    # Stored: counted and numbered from one reading of the listing.
+    new = stored(places.join(known, "_key", "left_anti"), "new-links")
+    first = F.coalesce(known.agg(F.max("article_id")).scalar(), F.lit(-1)) + 1
+    count = new.agg(F.count("*")).scalar()
+    upwards = numbered(in_blocks(new, pages_per_block)).select("_key", (first + count - 1 - F.col("article_id")).cast("bigint").alias("article_id"))
+    return spread_lookup(links, known.unionByName(upwards), "_key", ["page", "pos"], "left").drop("_key")
+
+
 def collect_links(
     list_pages: DataFrame,
     base_url: str,

@@ -1,7 +1,8 @@
 """Incremental content build with Structured Streaming.
 
-New article files are picked up by a file stream.  Each micro-batch drops the
-articles that already have content rows and writes the rest as one partition
+New article files are picked up by a file stream.  The articles that already have
+content rows are known from keyed state (``keys``), so a batch reads nothing that was
+written before its predecessor; the rest is written as one partition
 named after the stream and the batch.  A batch that is run again after a
 failure replaces its own partition, so every article is written exactly once
 and nothing written earlier is rewritten.
@@ -18,7 +19,9 @@ from pyspark.sql.streaming import StreamingQuery
 from ..functions.urls import DomainRules
 from ..plans.builds import build_content
 from ..schemas import ARTICLE_SCHEMA, CONTENT_SCHEMA
+from ..session import stored
 from ..sources.tables import empty_table
+from . import keys
 
 ARTICLE_STREAM_SCHEMA = T.StructType(
     [T.StructField("article_id", T.LongType()), *ARTICLE_SCHEMA.fields]
@@ -81,18 +84,20 @@ def content_batch_writer(
     rules: DomainRules | None = None,
     stamp: Column | None = None,
     min_rows: int | None = None,
+    only_new: bool = False,
 ):
-    """The ``foreachBatch`` function."""
+    """The ``foreachBatch`` function.  Batches hold new articles only, one row each, if
+    ``only_new``; else the keys of all other batches are read to find them."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         stream_id = stream_identity(spark, checkpoint)
-        own = (F.col("stream_id") == stream_id) & (F.col("batch_id") == batch_id)
-        done = read_table(spark, out).where(~own)
-        rows = build_content(
-            one_per_article(keyed(batch)), pages, attempts, done,
-            rules=rules, stamp=stamp, min_rows=min_rows,
-        )
+        if only_new:  # stored: the build reads it more than once, and the state must not run twice
+            todo, done = stored(batch, "new-articles"), None
+        else:
+            own = (F.col("stream_id") == stream_id) & (F.col("batch_id") == batch_id)
+            todo, done = one_per_article(keyed(batch)), read_table(spark, out).where(~own)
+        rows = build_content(todo, pages, attempts, done, rules=rules, stamp=stamp, min_rows=min_rows)
         rows.write.mode("overwrite").parquet(f"{out}/stream_id={stream_id}/batch_id={batch_id}")
 
     return write
@@ -126,9 +131,11 @@ def run_incremental(
     articles = reader.parquet(articles_path)
     if stable_key is not None:
         articles = articles.withColumn("article_id", stable_key)
+    keys.ensure_output(spark, out)
+    new = keys.first_seen(keyed(articles), keys.written_keys(spark, out))
     return (
-        articles.writeStream
-        .foreachBatch(content_batch_writer(pages, out, checkpoint, attempts, rules, stamp, min_rows))
+        new.writeStream
+        .foreachBatch(content_batch_writer(pages, out, checkpoint, attempts, rules, stamp, min_rows, only_new=True))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

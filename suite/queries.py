@@ -12,7 +12,7 @@ from factloom.operators import (
 from factloom.plans import builds
 from factloom.session import scratch_dir, stored
 from factloom.sources import tables as IO
-from factloom.streaming import incremental
+from factloom.streaming import incremental, reports
 
 from . import shapes as Z
 
@@ -225,6 +225,13 @@ def article_ids(spark, sf):
     return L.collect_links(_linked(spark, sf), Z.BASE, pages_per_block=16).select("page", "url", "article_id")
 
 
+def recrawl_ids(spark, sf):
+    """A first crawl saw the listing from its eleventh page on; the second sees all of it."""
+    old = stored(L.collect_links(_linked(spark, sf), Z.BASE, start_page=11).select("url", "article_id"), "first-crawl")
+    links = L.collect_links(_linked(spark, sf), Z.BASE)
+    return L.renumbered(links, old, pages_per_block=16).select("page", "url", "article_id")
+
+
 # --- articles ----------------------------------------------------------------
 
 def _article_pages(spark, sf):
@@ -429,6 +436,18 @@ def claim_evidence_no_leaks(spark, sf):
     return found.select("article_id", "source_index", "true_url", "false_url")
 
 
+def claim_evidence_deltas(spark, sf):
+    """The pairs that each of two batches of claims and content adds, together."""
+    claims, content = _claims(spark, sf), _stored_content(spark, sf)
+
+    def of(df, part):
+        keys = [c for c in ("article_id", "source_type", "source_index") if c in df.columns]
+        return df.where(F.pmod(F.xxhash64(*keys), F.lit(2)) == part)
+
+    first = pairs.new_pairs(claims.limit(0), of(claims, 0), content.limit(0), of(content, 0))
+    return first.unionByName(pairs.new_pairs(of(claims, 0), of(claims, 1), of(content, 0), of(content, 1)))
+
+
 # --- counts ------------------------------------------------------------------
 
 def label_counts(spark, sf):
@@ -464,6 +483,36 @@ def article_counts(spark, sf):
     return Q.article_counts(_document_articles(spark, sf))
 
 
+def _partials(spark, sf):
+    """Figures of three batches of articles, one of which comes twice."""
+    path, articles = scratch_dir(spark, "partials"), _document_articles(spark, sf)
+    for batch in (0, 1, 2, 1):
+        part = articles.where(F.pmod(F.xxhash64("url"), F.lit(3)) == batch)
+        reports.write_batch(reports.article_partials(part), path, str(batch))
+    return reports.read_partials(spark, path)
+
+
+def batch_counts(spark, sf):
+    return reports.merged_counts(_partials(spark, sf))
+
+
+def batch_summary(spark, sf):
+    return reports.merged_summary(_partials(spark, sf))
+
+
+def batch_completeness(spark, sf):
+    return reports.merged_completeness(_partials(spark, sf))
+
+
+def batch_rows(spark, sf):
+    """Content rows and their articles, from the keys of three batches."""
+    path, rows = scratch_dir(spark, "keys"), O.explode_sources(_plain_articles(spark, sf))
+    for batch in (0, 1, 2, 1):
+        part = rows.where(F.pmod(F.xxhash64("article_id", "source_index"), F.lit(3)) == batch)
+        reports.write_batch(reports.content_keys(part), path, str(batch))
+    return reports.merged_content_summary(spark, path)
+
+
 def empty_counts(spark, sf):
     return Q.null_counts(_document_articles(spark, sf), ["narasi", "kesimpulan", "hasil_periksa", "link_source"])
 
@@ -576,4 +625,5 @@ QUERIES = {f.__name__: f for f in (
     label_counts, ordered_counts, article_summary, article_counts, empty_counts, field_completeness,
     date_range, reference_stats, content_summary, content_counts,
     csv_articles, content_round_trip, incremental_content, article_stream, run_counts,
+    recrawl_ids, claim_evidence_deltas, batch_counts, batch_summary, batch_completeness, batch_rows,
 )}

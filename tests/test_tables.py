@@ -11,7 +11,7 @@ from factloom.plans import builds
 from factloom.schemas import ARTICLE_FIELDS, ARTICLE_SCHEMA, CONTENT_SCHEMA
 from factloom.session import scratch_dir, stored
 from factloom.sources import tables as IO
-from factloom.streaming import incremental
+from factloom.streaming import incremental, keys
 
 SF = "/root/testdata/sf0.001"
 TRICKY = ['a "b", c', "line\nbreak", " outer ", "back\\slash\\", "é😀", None, "x,y", '"', "'", "a\r\nb"]
@@ -160,3 +160,50 @@ def _written(spark):
     path = scratch_dir(spark, "t")
     spark.range(10).selectExpr("id AS article_id", "'x' AS referensi").write.parquet(path)
     return path
+
+
+def test_first_seen_by_state(spark):
+    """Keys of the output and of earlier batches are done; copies in a batch give the least row."""
+    root = scratch_dir(spark, "keys")
+    schema = "article_id long, url string, text string"
+    keys.ensure_output(spark, f"{root}/out")
+    keys.ensure_output(spark, f"{root}/out")
+
+    def run():
+        articles = spark.readStream.schema(schema).parquet(f"{root}/in")
+        new = keys.first_seen(articles, keys.written_keys(spark, f"{root}/out"))
+        new.writeStream.format("parquet").option("path", f"{root}/seen").option("checkpointLocation", f"{root}/cp").trigger(availableNow=True).start().awaitTermination()
+        return sorted(tuple(r) for r in spark.read.parquet(f"{root}/seen").collect())
+
+    def add(folder, rows, columns=schema):
+        spark.createDataFrame(rows, columns).write.mode("append").parquet(f"{root}/{folder}")
+
+    add("in", [(1, "b", None), (1, "a", "x"), (1, "a", None), (2, "c", "c"), (-5, None, None)])
+    add("out/stream_id=other/batch_id=0", [(2,), (None,)], "article_id long")
+    assert run() == [(-5, None, None), (1, "a", None)]
+    add("in", [(1, "a", None), (3, "d", "d"), (4, "e", "e")])
+    add("out/stream_id=other/batch_id=1", [(4,)], "article_id long")
+    assert run() == [(-5, None, None), (1, "a", None), (3, "d", "d")]
+    assert run() == [(-5, None, None), (1, "a", None), (3, "d", "d")]
+
+
+def test_two_streams_over_a_growing_output(spark):
+    """Each stream learns what the other wrote; a batch reads no content from before."""
+    root = scratch_dir(spark, "two")
+    pages = spark.createDataFrame([(1, "https://a.example", "<body>isi</body>")], "page_id long, url string, html string")
+
+    def run(name):
+        query = incremental.run_incremental(spark, f"{root}/in", pages, f"{root}/out", f"{root}/{name}", stamp=F.lit("t"))
+        query.awaitTermination()
+        read = [source["numInputRows"] for progress in query.recentProgress for source in progress["sources"] if "/out" in source["description"]]
+        return sum(read)
+
+    read = []
+    for i in range(4):
+        rows = [(10 * i + k, f"s/articles/{10 * i + k}-x", "https://a.example", None) for k in range(3)]
+        articles_of(spark, rows).write.mode("append").parquet(f"{root}/in")
+        read.append(run("one" if i % 2 else "two"))
+    table = incremental.read_table(spark, f"{root}/out")
+    assert sorted(r.article_id for r in table.collect()) == [10 * i + k for i in range(4) for k in range(3) for _ in range(2)]
+    # Six rows a run, two of each article: what was written since the stream's last batch, its own and the other's.
+    assert read == [0, 6, 12, 12]
