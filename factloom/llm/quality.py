@@ -42,7 +42,7 @@ MIX = np.uint64(0x9E3779B97F4A7C15)
 
 def shape_and_word(word: bytes) -> tuple[int, int]:
     shape = RUNS.sub(rb"\1", word.translate(CLASSES))
-    return xxhash.xxh64_intdigest(shape[:64], 1), xxhash.xxh64_intdigest(word.lower(), 2)
+    return xxhash.xxh64_intdigest(shape, 1), xxhash.xxh64_intdigest(word.lower(), 2)
 
 
 class Features:
