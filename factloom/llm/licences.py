@@ -64,7 +64,7 @@ GRAM_TYPE = "array<struct<label: int, words: string, held: boolean>>"
 def grams(text: Column) -> Column:
     """Distinct words and word pairs of a text, lower-cased."""
     words = F.filter(F.split(F.lower(text), "[^\\p{L}\\p{N}]+"), lambda w: w != "")
-    pairs = F.zip_with(words, F.slice(words, 2, 1_000_000), lambda a, b: F.concat_ws(" ", a, b))
+    pairs = F.zip_with(words, F.slice(words, 2, 2_000_000_000), lambda a, b: F.concat_ws(" ", a, b))
     return F.array_distinct(F.concat(words, F.filter(pairs, lambda p: F.contains(p, F.lit(" ")))))
 
 
