@@ -187,8 +187,14 @@ def social_body(spark, sf):
     return _page_text_as(spark, sf, "social_media").select("page_id", "title", "text")
 
 
+def named_containers(spark, sf):
+    """Bodies picked by each of the containers, with texts around the least lengths."""
+    made = pages(spark, sf).select("page_id", F.expr(Z.CONTAINER_KIND).alias("content_type"), F.expr(Z.CONTAINER_HTML).alias("html"))
+    return P.with_page_text(made).select("page_id", "content_type", "text")
+
+
 def selector_profile(spark, sf):
-    return P.selector_profile(pages(spark, sf), selectors=["table", "article", ".ad", ".entry-list", "ul li"])
+    return P.selector_profile(pages(spark, sf).select("page_id", F.expr(Z.PROFILE_HTML).alias("html")))
 
 
 def first_site_link(spark, sf):
@@ -617,7 +623,7 @@ QUERIES = {f.__name__: f for f in (
     article_dates, js_redirect_flag, paywall_strip,
     url_domain, domain_counts, page_urls, route_urls, route_by_rules,
     page_headings, page_category, page_text, page_title, page_body, archive_body, social_body,
-    selector_profile, first_site_link,
+    named_containers, selector_profile, first_site_link,
     anchor_links, list_frontier, list_progress, article_ids,
     article_table, article_states, article_availability, article_extras, explode_sources, collapse_sources, article_head,
     fetch_status, page_availability, row_status, content_table, entry_counts,

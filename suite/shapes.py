@@ -51,12 +51,34 @@ VERDICT = f"""CASE doc_id % 5
  WHEN 3 THEN concat('sumberhttps://', lang, '.example')
  ELSE text END"""
 
-WALLED = """concat(CASE doc_id % 8
+# Every login wall and every waiting phrase opens some texts, in mixed case, beside near misses.
+WALLED = """concat(CASE doc_id % 15
  WHEN 0 THEN 'Silakan LOGIN ' WHEN 1 THEN 'PERINGATAN! Materi khusus dewasa. '
- WHEN 2 THEN 'Login Gabung KOMPAS.com+ ' WHEN 3 THEN 'please sign in? ' WHEN 4 THEN 'Please  log in ' ELSE '' END, text)"""
-
-WAITING = """concat(CASE doc_id % 6
- WHEN 0 THEN ' Please WAIT ' WHEN 1 THEN 'Downloading: ' WHEN 2 THEN 'Just a  moment ' WHEN 3 THEN 'Redirecting' ELSE '' END, text)"""
+ WHEN 2 THEN 'Login Gabung KOMPAS.com+ ' WHEN 3 THEN 'please sign in? ' WHEN 4 THEN 'Please  log in '
+ WHEN 5 THEN 'Konten ini merupakan konten Dewasa ' WHEN 6 THEN 'Konten yang DISIMPAN ' WHEN 7 THEN 'Masuk untuk melanjutkan. '
+ WHEN 8 THEN 'Daftar Sekarang! ' WHEN 9 THEN 'langganan untuk membaca ' WHEN 10 THEN 'SUBSCRIBE to read '
+ WHEN 11 THEN 'Ayo daftar sekarang. ' WHEN 12 THEN 'Please login ' ELSE '' END, text)"""
+
+WAITING = """concat(CASE doc_id % 9
+ WHEN 0 THEN ' Please WAIT ' WHEN 1 THEN 'Downloading: ' WHEN 2 THEN 'Just a  moment ' WHEN 3 THEN 'Redirecting'
+ WHEN 4 THEN 'Just a Moment...' WHEN 5 THEN 'Enable JavaScript ' WHEN 6 THEN 'Checking your browser' ELSE '' END,
+ CASE WHEN doc_id % 4 = 0 THEN substring(text, 1, 180) ELSE text END)"""
+
+# One page per container by which a body is picked, its text just below, at or above the least length.
+CONTAINERS = """CASE page_id % 14
+ WHEN 0 THEN 'article class="a"' WHEN 1 THEN 'div class="x article-body"' WHEN 2 THEN 'section class="post-content-2"'
+ WHEN 3 THEN 'div class="entry-content"' WHEN 4 THEN 'div class="the-content-body y"' WHEN 5 THEN 'div class="story-body"'
+ WHEN 6 THEN 'main' WHEN 7 THEN 'div class="a content b"' WHEN 8 THEN 'div id="content"'
+ WHEN 9 THEN 'div id="CONTENT"' WHEN 10 THEN 'div id="ORIGINAL"' WHEN 11 THEN 'td class="TEXT-BLOCK"'
+ WHEN 12 THEN 'article' ELSE 'main' END"""
+CONTAINER_KIND = "CASE WHEN page_id % 14 < 9 THEN 'news_site' ELSE 'archive' END"
+CONTAINER_TEXT = "rpad(concat(url, '#'), CAST(CASE WHEN page_id % 14 < 9 THEN 198 ELSE 98 END + floor(page_id / 14) % 6 AS int), 'x')"
+CONTAINER_HTML = f"""concat('<html><!-- ', replace(html, '--', ''), ' --><body><p>Muka</p><', {CONTAINERS}, '><div>', {CONTAINER_TEXT}, '</div></',
+ regexp_extract({CONTAINERS}, '^[a-z]+', 0), '><p>Ekor</p></body></html>')"""
+
+# The given page with the lists, tables and addresses that a profile counts.
+PROFILE_HTML = """replace(html, '<article>', concat('<article><ul class="a post-list"><li>', page_id, '</li></ul>',
+ CASE WHEN page_id % 3 = 0 THEN '<table><tbody><tr><td>1</td></tr><tr><td>2</td></tr></tbody></table>' ELSE '<div class="entry-list"><tr></tr></div>' END))"""
 
 # Pages rerouted to hosts of every kind, whole HTML kept.
 ROUTED_URL = """CASE page_id % 9
