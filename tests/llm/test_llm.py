@@ -376,3 +376,32 @@ def test_licences(spark):
     plan = licences.scan(docs, model)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan
     assert licences.scan(docs.limit(0), model).count() == 0
+
+
+WRAPPED = {  # comment marks, blank comment lines and line ends inside the notice
+    "lgpl": " * This library is free software; you can redistribute it and/or\n * modify it under the terms of the GNU Lesser General Public\n * License as published by the Free Software Foundation; either\n * version 2.1 of the License, or (at your option) any later version.",
+    "gpl": "# This program is free software: you can redistribute it and/or modify\n# it under the terms of the GNU General Public License as published by\n# the Free Software Foundation, either version 3 of the License.",
+    "bsd": "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following conditions\nare met:",
+    "mit": "Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation files (the \"Software\"), to deal\nin the Software without restriction",
+    "apache": "// Licensed under the Apache License, Version 2.0 (the \"License\");\n// you may not use this file except in compliance with the License.",
+    "zlib": "x\n\n \n//\nThis is distributed under the zlib License.", "eupl": "Licensed under the EUPL",
+}
+
+
+def test_licences_by_paragraphs(spark):
+    plain = ["License: not MIT License, all rights reserved", "This work is released under the Harbour Source License, version 7.", "Er kam mit dem Hund.", "a b\n" * 4000, "-- \n" * 5000 + "wort " * 5000]
+    texts = [*WRAPPED.values(), *plain, "\n\n".join(WRAPPED.values()), "x " * 4000 + WRAPPED["lgpl"] + " y" * 4000]
+    docs = docs_of(spark, texts).withColumn("families", F.lit(1)).withColumn("findings", F.lit(2)).withColumn("asked", F.lit(3))
+    docs = docs.unionByName(docs)  # repeated rows are scanned each
+    model = licences.train(docs)
+    got = licences.scan(docs, model).orderBy("doc_id").collect()
+    assert got[::2] == got[1::2]
+    got = got[::2]
+    size = len(WRAPPED)
+    assert [r.families for r in got] == [[f] for f in WRAPPED] + [[]] * len(plain) + [sorted(WRAPPED), ["lgpl"]]
+    negated, other = got[size], got[size + 1]
+    assert [(f.family, f.confirmed, f.cover) for f in negated.findings] == [("mit", False, 1.0)]
+    assert other.n_unconfirmed == 1 and other.findings[0].family == licences.OTHER
+    assert [r.findings for r in got[size + 2:size + 5]] == [[], [], []]
+    assert [f.paragraph for f in got[-2].findings] == [0, 1, 2, 3, 4, 6, 7]  # zlib's text has two
+    assert licences.scan(docs, model, prune=False).orderBy("doc_id").collect()[::2] == got
