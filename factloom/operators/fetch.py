@@ -44,6 +44,19 @@ def _in_bound(max_attempts: int | None) -> Column:
     return F.lit(True) if max_attempts is None else F.col("attempt") <= max_attempts
 
 
+def places(attempts: DataFrame, max_attempts: int | None = None, *carry: str) -> DataFrame:
+    """(url, place, final): attempt and status as one number, null where the attempt does not count."""
+    code = attempt_status(F.col("outcome"), F.col("http_status"), F.col("is_archive"))
+    place = F.when(_in_bound(max_attempts), F.col("attempt").cast("bigint") * CODES + code)
+    return attempts.select("url", place.alias("place"), is_final(F.col("outcome")).alias("final"), *carry)
+
+
+def status_at(place: Column) -> Column:
+    """Status that a place stands for; none is an error."""
+    names = F.array(*[F.lit(s) for s in SCRAPE_STATUSES])
+    return F.coalesce(F.get(names, F.pmod(place, F.lit(CODES)).cast("int")), F.lit("error"))
+
+
 def fetch_status(attempts: DataFrame, max_attempts: int | None = None) -> DataFrame:
     """(url, fetch_status): the first final attempt, else the last one.
 
@@ -52,17 +65,9 @@ def fetch_status(attempts: DataFrame, max_attempts: int | None = None) -> DataFr
     attempts do not count, and a URL that has no other is an error.  The aggregation
     buffers are integers, so a URL with many log rows shrinks before the shuffle.
     """
-    code = attempt_status(F.col("outcome"), F.col("http_status"), F.col("is_archive"))
-    read = attempts.select(
-        "url", F.when(_in_bound(max_attempts), F.col("attempt").cast("bigint") * CODES + code).alias("place"),
-        is_final(F.col("outcome")).alias("final"),
-    )
-    names = F.array(*[F.lit(s) for s in SCRAPE_STATUSES])
-    return read.groupBy("url").agg(
+    return places(attempts, max_attempts).groupBy("url").agg(
         F.coalesce(F.min(F.when(F.col("final"), F.col("place"))), F.max("place")).alias("place")
-    ).select(
-        "url", F.coalesce(F.get(names, F.pmod("place", F.lit(CODES)).cast("int")), F.lit("error")).alias("fetch_status")
-    )
+    ).select("url", status_at(F.col("place")).alias("fetch_status"))
 
 
 def page_availability(attempts: DataFrame, max_attempts: int | None = None) -> DataFrame:
