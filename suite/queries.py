@@ -12,7 +12,7 @@ from factloom.operators import (
 from factloom.plans import builds
 from factloom.session import scratch_dir, stored
 from factloom.sources import tables as IO
-from factloom.streaming import incremental, reports
+from factloom.streaming import attempts, incremental, reports
 
 from . import shapes as Z
 
@@ -618,6 +618,20 @@ def article_stream(spark, sf):
         "article_id", "source_type", "source_index", "url", "content_type", "title", "text", "scrape_status")
 
 
+def attempt_stream(spark, sf):
+    """The attempt log streamed in parts; a last row of a far later time moves its clock on."""
+    root = scratch_dir(spark, "attempt-stream")
+    log = _attempts(spark, sf).withColumn("ts", F.col("ts").cast("timestamp"))
+    log.write.parquet(f"{root}/log")
+    log = spark.read.parquet(f"{root}/log")
+    clock = log.agg((F.max("ts") + F.expr("INTERVAL 9 DAYS")).alias("ts")).select(
+        *[F.col(c) if c == "ts" else F.lit(None).cast(log.schema[c].dataType).alias(c) for c in log.columns])
+    clock.write.mode("append").parquet(f"{root}/log")
+    settled = attempts.settled_status(spark.readStream.schema(log.schema).parquet(f"{root}/log"), "ts").where("url IS NOT NULL")
+    settled.writeStream.format("parquet").option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start(f"{root}/out").awaitTermination()
+    return spark.read.schema(settled.schema).parquet(f"{root}/out")
+
+
 QUERIES = {f.__name__: f for f in (
     clean_text, lower_text, previews, title_label, section_extract, verdict_source_split, reference_urls,
     article_dates, js_redirect_flag, paywall_strip,
@@ -630,6 +644,6 @@ QUERIES = {f.__name__: f for f in (
     resume_pending, seed_lookup, spot_check, claim_evidence_pairs, claim_evidence_no_leaks,
     label_counts, ordered_counts, article_summary, article_counts, empty_counts, field_completeness,
     date_range, reference_stats, content_summary, content_counts,
-    csv_articles, content_round_trip, incremental_content, article_stream, run_counts,
+    csv_articles, content_round_trip, incremental_content, article_stream, attempt_stream, run_counts,
     recrawl_ids, claim_evidence_deltas, batch_counts, batch_summary, batch_completeness, batch_rows,
 )}
