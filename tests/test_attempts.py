@@ -65,3 +65,26 @@ def test_shared_numbers_nulls_and_gaps(spark):
 ])
 def test_settled(first, seen, bound, want):
     assert A.is_settled(first, seen, bound) is want
+
+
+def test_urls_share_pages_of_state(spark, monkeypatch):
+    """Fifty URLs in four pages: settled early, by the clock beside a page's new rows, and
+    by the last clock; a row after that gives nothing."""
+    monkeypatch.setattr(A, "PAGES", 4)
+    rows = [[], [], [], []]
+    for i in range(50):
+        rows[0].append((f"a{i}", 1, *(("http", 200) if i % 3 == 0 else ("timeout", 0)), False, START + timedelta(seconds=i)))
+        rows[1].append((f"b{i}", 1, "timeout", 0, False, START + timedelta(hours=8)))
+        rows[2 + (i % 2)].append((f"b{i}", 2, "http", 404, False, START + timedelta(hours=8, seconds=i)))
+        rows[3].append((f"a{i}", 2, "http", 404, False, START + timedelta(hours=8, seconds=i)))
+    rows[0].append((None, 1, "conn", 0, True, None))
+    want = [(f"a{i}", "ok" if i % 3 == 0 else "timeout") for i in range(50)]
+    want += [(f"b{i}", "404") for i in range(50)] + [(None, "archive_blocked")]
+    assert run(spark, rows) == sorted(want, key=str)
+    calls = spark.range(3000).selectExpr("concat('u', id) AS url", "1 AS attempt", "'timeout' AS outcome", "0 AS http_status", "false AS is_archive", "timestamp '2026-01-01' AS at")
+    root = scratch_dir(spark, "attempt-pages")
+    calls.write.parquet(f"{root}/in")
+    query = A.settled_status(spark.readStream.schema(SCHEMA).parquet(f"{root}/in"), "at").writeStream.format("parquet").option("checkpointLocation", f"{root}/checkpoint")
+    query = query.trigger(availableNow=True).start(f"{root}/out")
+    query.awaitTermination()
+    assert max(op["numRowsTotal"] for p in query.recentProgress for op in p["stateOperators"]) <= 4
