@@ -155,7 +155,8 @@ def state_row(part: int, ids: np.ndarray, gids: np.ndarray, taken: np.ndarray, a
 
 
 def begin(left: pa.Table, right: pa.Table) -> pa.Table:
-    """A part and its frequent words -> phrases of two words."""
+    """A part and its frequent words -> phrases of two words.  Words of at most ``limit``
+    occurrences are taken."""
     if not left.num_rows or not right.num_rows:
         return STATE.empty_table()
     raw = from_planes(left.column("ids")[0].as_py())
@@ -164,7 +165,7 @@ def begin(left: pa.Table, right: pa.Table) -> pa.Table:
     frequent = np.full(max(int(raw.max(initial=0)), int(place.max())) + 2, -1, np.int32)
     frequent[place[order]] = np.arange(len(place), dtype=np.int32)
     ids = frequent[raw]  # the last entry answers for -1
-    taken = np.append(right.column("taken").to_numpy(zero_copy_only=False)[order], False)
+    taken = np.append(right.column("f").to_numpy()[order] <= left.column("limit")[0].as_py(), False)
     return state_row(left.column("part")[0].as_py(), ids, gids[order], taken, np.append(ids, -1), gids[order], 1)
 
 
@@ -191,17 +192,27 @@ def go_on(length: int):
 
 def with_total(seen: DataFrame, least: int, *key: str) -> DataFrame:
     """Rows of parts whose ``counts`` add up to ``least`` or more for their key, with the
-    sum ``f``.  A key has a row per part at most, and all meet in one shuffle."""
-    total = F.sum("counts").over(Window.partitionBy(*key))
-    return seen.withColumn("f", total).where(F.col("f") >= least).drop("counts")
+    sum ``f`` and a number of the key, ``gid``: the ``row`` of one of its rows.  A key has a
+    row per part at most, and all meet in one shuffle.  Numbers hold in a table that is
+    written once."""
+    of_key = Window.partitionBy(*key)
+    numbered = seen.withColumn("row", F.monotonically_increasing_id())
+    total = numbered.withColumns({"f": F.sum("counts").over(of_key), "gid": F.min("row").over(of_key)})
+    return total.where(F.col("f") >= least).drop("counts")
 
 
-def frequent_phrases(found: DataFrame, vocabulary: DataFrame, words: DataFrame, limits: DataFrame, least: int) -> DataFrame:
+def keys_of(hits: DataFrame, *columns: str) -> DataFrame:
+    """The columns once for each key of ``with_total``."""
+    return hits.where(F.col("row") == F.col("gid")).select(*columns)
+
+
+def frequent_phrases(found: DataFrame, vocabulary: DataFrame, words: DataFrame, limits: DataFrame, least: int, some: bool) -> DataFrame:
     """``lang``, ``words``, ``f``, ``first_f``, ``last_f`` of all frequent phrases with an
-    end of at most ``limit`` occurrences, single words included."""
-    wave = found.select("part", "lang").join(limits, "lang").select("part", "limit")
-    right = vocabulary.join(wave, "part").select(F.col("part").alias("of_part"), "place", "gid", (F.col("f") <= F.col("limit")).alias("taken"))
-    left = found.select("part", "ids").join(wave.select("part"), "part", "left_semi")
+    end of at most ``limit`` occurrences, single words included.  ``some``: ``limits`` may
+    lack languages, whose parts are left out."""
+    left = found.select("part", "lang", "ids").join(limits.select("lang", "limit"), "lang").select("part", "ids", "limit")
+    right = vocabulary.select(F.col("part").alias("of_part"), "lang", "place", "gid", "f")
+    right = (right.join(limits.select("lang"), "lang", "left_semi") if some else right).drop("lang")
     state = stored(left.groupBy("part").cogroup(right.groupBy("of_part")).applyInArrow(begin, STATE_TYPE), "phrases-2")
     single = words.join(limits.select("lang"), "lang", "left_semi").select(
         "gid", "lang", F.array("word").alias("words"), "f", F.col("f").alias("first_f"), F.col("f").alias("last_f")
@@ -211,7 +222,7 @@ def frequent_phrases(found: DataFrame, vocabulary: DataFrame, words: DataFrame,
     for length in range(2, LONGEST + 1):
         seen = state.select("part", F.posexplode(F.arrays_zip("left", "right", "counts")).alias("place", "p")).select("part", "place", "p.*")
         hits = stored(with_total(seen, least, "left", "right"), f"hits-{length}")
-        level = stored(hits.select("left", "right", "f").distinct().withColumn("gid", F.monotonically_increasing_id()), f"level-{length}")
+        level = keys_of(hits, "left", "right", "f", "gid")
         back = F.col("left").bitwiseAND(F.lit(1)) == 1
         grown = level.withColumnRenamed("f", "own_f").withColumnRenamed("gid", "own").withColumn("gid", F.shiftright("left", 1)).join(levels[-1], "gid").join(word, "right")
         levels.append(grown.select(
@@ -221,7 +232,7 @@ def frequent_phrases(found: DataFrame, vocabulary: DataFrame, words: DataFrame,
             F.when(back, F.col("last_f")).otherwise(F.col("word_f")).alias("last_f"),
         ))
         if length < LONGEST:
-            hits = hits.join(level.select("left", "right", "gid"), ["left", "right"]).select(F.col("part").alias("of_part"), "place", "gid")
+            hits = hits.select(F.col("part").alias("of_part"), "place", "gid")
             bare = state.select("part", "ids", "gids", "taken", "at", "slots", F.size("counts").alias("size"))
             state = stored(bare.groupBy("part").cogroup(hits.groupBy("of_part")).applyInArrow(go_on(length), STATE_TYPE), f"phrases-{length + 1}")
     every = levels[0]
@@ -262,8 +273,7 @@ def collocations(docs: DataFrame, text: str = "text", lang: str = "lang", least:
     found = stored(parts(docs, text, lang), "word-parts")
     listed = found.select("part", "lang", F.posexplode(F.arrays_zip("words", "counts")).alias("place", "p")).select("part", "lang", "place", F.col("p.words").alias("word"), "p.counts")
     vocabulary = stored(with_total(listed, least, "lang", "word"), "vocabulary")
-    words = stored(vocabulary.select("lang", "word", "f").distinct().withColumn("gid", F.monotonically_increasing_id()), "words")
-    vocabulary = stored(vocabulary.join(words.select("lang", "word", "gid"), ["lang", "word"]).select("part", "place", "gid", "f"), "vocabulary")
+    words = stored(keys_of(vocabulary, "lang", "word", "f", "gid"), "words")
     sizes = found.groupBy("lang").agg(F.sum("n_words").alias("n"))
     # Words by eighths of a power of two of their count: how many a limit takes.
     steps = words.groupBy("lang", F.floor(F.log2("f") * 8).alias("step")).agg(F.count("*").alias("words"), F.max("f").alias("high"))
@@ -281,7 +291,7 @@ def collocations(docs: DataFrame, text: str = "text", lang: str = "lang", least:
     limits = stored(limits_for(steps.select("lang", F.lit(None).cast("long").alias("known"), F.lit(wave).cast("long").alias("taking")).distinct()), "limits")
     done = None
     while True:
-        scored = survivors(frequent_phrases(found, vocabulary, words, limits, least), limits, share)
+        scored = survivors(frequent_phrases(found, vocabulary, words, limits, least, done is not None), limits, share)
         order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
         ranked = stored(scored.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top), "ranked")
         # A language is settled once no word is left whose bound reaches its last score.

@@ -173,3 +173,18 @@ def test_collocations_equal_full_counts(spark, monkeypatch, least, share, top, w
 
 def test_collocations_of_an_empty_table(spark):
     assert collocations.collocations(spark.createDataFrame([], "lang string, text string")).count() == 0
+
+
+def test_keys_are_numbered_without_a_join(spark):
+    rows = [(p, "ab"[i % 2], f"w{i}", 1 + i) for p in range(5) for i in range(p, 12)]
+    table = spark.createDataFrame(rows, "part long, lang string, word string, counts long").repartition(4)
+    hits = collocations.with_total(table, 20, "lang", "word")
+    assert "Join" not in hits._jdf.queryExecution().optimizedPlan().toString()
+    totals = Counter()
+    for _, lang, word, n in rows:
+        totals[lang, word] += n
+    want = {k: n for k, n in totals.items() if n >= 20}
+    hits = hits.collect()
+    assert {(r.lang, r.word): r.f for r in hits} == want and len(hits) == sum((r[1], r[2]) in want for r in rows)
+    assert len({r.gid for r in hits}) == len({(r.lang, r.word, r.gid) for r in hits}) == len(want)
+    assert sorted((r.lang, r.word) for r in hits if r.row == r.gid) == sorted(want)
