@@ -84,3 +84,35 @@ def test_similar_links_connect_a_bucket_beyond_its_smallest_node(spark):
     found = {(r.a, r.b) for r in similar.similar_links(rows).collect()}
     assert (0, 4) in found and all(a in (0, 4) and b in (0, 4) or a not in (0, 4) and b not in (0, 4) for a, b in found)
     assert {n for pair in found for n in pair} == set(range(5))
+
+
+def test_similar_links_of_a_template_compare_few_pairs(spark, monkeypatch):
+    import random
+
+    from factloom.llm import similar
+
+    rng, base = random.Random(7), [f"w{i}" for i in range(150)]
+    texts = []
+    for _ in range(150):  # most pairs lie between 0.55 and 0.8
+        places = rng.sample(range(150), rng.choice((1, 2, 3, 4, 4, 5, 5, 6)))
+        texts.append(" ".join(f"{w}x{rng.randrange(40)}" if i in places else w for i, w in enumerate(base)))
+    texts += [texts[9].upper(), texts[9] + " end", " ".join(base[:9]), None]
+    rows = [(i // 2 if i < 4 else i, t) for i, t in enumerate(texts)]  # two ids have two texts each
+    compared, confirmed = [], similar.confirmed
+    monkeypatch.setattr(similar, "confirmed", lambda pairs, texts: (compared.append(pairs.count()), confirmed(pairs, texts))[1])
+    links = similar.similar_links(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
+    label = {i: i for i, _ in rows}
+
+    def join(a, b):
+        low, high = sorted((label[a], label[b]))
+        label.update((k, low) for k, v in label.items() if v == high)
+
+    for r in links.collect():
+        join(r.a, r.b)
+    got, label = label, {i: i for i, _ in rows}
+    sets = [(i, similar.shingles((t or "").encode())) for i, t in rows]
+    near = [(a, b) for k, (a, x) in enumerate(sets) for b, y in sets[:k] if len(x) and similar.jaccard(x, y) >= similar.LIMIT]
+    for a, b in near:
+        join(a, b)
+    assert got == label and 1 < len(set(got.values())) < 150
+    assert sum(compared[1:]) < len(texts)
