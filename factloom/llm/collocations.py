@@ -140,15 +140,18 @@ def state_row(part: int, ids: np.ndarray, gids: np.ndarray, taken: np.ndarray, a
     """A part with its phrases of ``length + 1`` words; ``names`` are the ids of those of
     ``length`` words.  Places of two-word phrases, the many, are found again when needed."""
     at, slots, parent, word, counts = grown(ids, taken, alive, length)
-    # Words that no such phrase holds or could grow by become breaks, one for many.
+    # Words that no such phrase holds or could grow by at any later level become breaks,
+    # one for many.  It grows to the right if its first word is taken, to the left if its last is.
+    start = np.where(taken[ids[at + length]], np.maximum(at + length + 1 - LONGEST, 0), at)
+    end = np.where(taken[ids[at]], np.minimum(at + LONGEST, len(ids)), at + length + 1)
     near = np.zeros(len(ids) + 1, np.int64)
-    np.add.at(near, np.maximum(at - 1, 0), 1)
-    np.add.at(near, np.minimum(at + length + 2, len(ids)), -1)
-    near = np.cumsum(near[:-1]) > 0
-    stays = near | np.append(True, near[:-1])
+    np.add.at(near, start, 1)
+    np.add.at(near, end, -1)
+    left = np.where(np.cumsum(near[:-1]) > 0, ids, -1)
+    stays = (left >= 0) | np.append(True, left[:-1] >= 0)
     at = np.diff((np.cumsum(stays) - 1)[at], prepend=0)
     values = [
-        part, planes(np.where(near, ids, -1)[stays]), gids, taken[:-1].tobytes(), planes(at) if length > 1 else None,
+        part, planes(left[stays]), gids, taken[:-1].tobytes(), planes(at) if length > 1 else None,
         planes(slots) if length > 1 else None, names[parent >> 1] * 2 + (parent & 1), gids[word], counts,
     ]
     return pa.Table.from_arrays([pa.array([v], f.type) for v, f in zip(values, STATE)], schema=STATE)

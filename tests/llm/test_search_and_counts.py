@@ -171,6 +171,16 @@ def test_collocations_equal_full_counts(spark, monkeypatch, least, share, top, w
     assert sorted(tuple(r) for r in got.collect()) == phrases(rows, least, share, top)
 
 
+def test_collocations_count_parts_over_three_words_that_are_not_taken(spark):
+    rows = [("en", f"t x y z{end}") for end in [" u"] * 6 + [""] * 6] + [("fr", f"{start}x y z t") for start in ["u "] * 6 + [""] * 6]
+    rows += [(lang, "u. " * 10 + "x. y. z. " * 100) for lang in ("en", "fr")]
+    want = phrases(rows, 5, 100, 1)
+    assert [r[2:6] for r in want] == [("t x y z u", 6, 12, 16), ("u x y z t", 6, 16, 12)]
+    table = spark.createDataFrame(rows, "lang string, text string").repartition(2)
+    got = collocations.collocations(table, least=5, top=1, wave=2)
+    assert sorted(tuple(r) for r in got.collect()) == want
+
+
 def test_collocations_of_an_empty_table(spark):
     assert collocations.collocations(spark.createDataFrame([], "lang string, text string")).count() == 0
 
